@@ -11,31 +11,19 @@ from storelens.sources.star import Star
 
 
 
-def _net_revenue():
-    return (
-        F.when(is_cancelled(), F.lit(0))
-        .otherwise(
-            F.col("gross_merchandise_value") - F.col("discount_amount") + F.col("delivery_fee")
-            + F.col("packaging_fee") - F.col("refund_amount")
-        )
-        .cast(MONEY)
-    )
-
-
 def with_economics(orders: DataFrame) -> DataFrame:
     """Net revenue, realised cost, contribution margin and on-time flag for orders with totals.
 
     A cancelled order earns nothing and realises no goods cost, but its delivery cost stays.
     """
-    realized = F.when(is_cancelled(), F.lit(0)).otherwise(F.col("cogs")).cast(MONEY)
-    return (
-        orders.withColumn("net_revenue", _net_revenue())
-        .withColumn("realized_cogs", realized)
-        .withColumn(
-            "contribution_margin",
-            (F.col("net_revenue") - F.col("realized_cogs") - F.col("estimated_delivery_cost")).cast(MONEY),
-        )
-        .withColumn("is_on_time", F.coalesce(F.col("delivery_minutes") <= F.col("promised_minutes"), F.lit(False)))
+    earned = "gross_merchandise_value - discount_amount + delivery_fee + packaging_fee - refund_amount"
+    return orders.selectExpr(
+        "*",
+        f"cast(if(status = 'Cancelled', 0, {earned}) as {MONEY}) as net_revenue",
+        f"cast(if(status = 'Cancelled', 0, cogs) as {MONEY}) as realized_cogs",
+        "coalesce(delivery_minutes <= promised_minutes, false) as is_on_time",
+    ).withColumn(
+        "contribution_margin", F.expr(f"cast(net_revenue - realized_cogs - estimated_delivery_cost as {MONEY})")
     )
 
 

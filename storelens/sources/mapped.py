@@ -5,18 +5,23 @@ Keys stay 64-bit integers. Money is built from whole cents, so no binary roundin
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from storelens.functions.columns import money
 from storelens.sources.star import Star
 
 
-def _whole(price: Column) -> Column:
-    """Cents of a price held as double."""
-    return F.rint(price * 100)
+@lru_cache(maxsize=256)
+def _file_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema from the file footers, read once per session rather than once per plan."""
+    return spark.read.parquet(path).schema
+
+
+def _decimal(cents: str, kind: str) -> str:
+    return f"cast(cast({cents} as decimal(18,0)) * 0.01 as {kind})"
 
 
 class MappedStar(Star):
@@ -25,116 +30,106 @@ class MappedStar(Star):
         self.folder = folder.rstrip("/")
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(_file_schema(self.spark, path)).parquet(path)
+
+    def row_count(self, name: str):
+        """Number of rows of a source table, as a scalar subquery; answered from file footers."""
+        return self.source(name).agg(F.count(F.lit(1))).scalar()
 
     def open(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
+    def _places(self) -> DataFrame:
+        return self.source("nation").selectExpr("n_nationkey as nation_key", "n_name as city")
+
     def _dim_customers(self) -> DataFrame:
-        place = self.source("nation").select("n_nationkey", F.col("n_name").alias("city"))
-        return (
-            self.source("customer")
-            .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                F.date_add(
-                    F.lit("1994-09-01").cast("date"), (F.col("c_custkey") * 7919 % 2500).cast("int")
-                ).alias("signup_date"),
-                "city",
-                F.col("c_mktsegment").alias("acquisition_channel"),
-                F.element_at(
-                    F.array(*map(F.lit, ["18-24", "25-34", "35-44", "45-54", "55+"])),
-                    (F.col("c_custkey") % 5 + 1).cast("int"),
-                ).alias("age_band"),
-                (F.col("c_acctbal") > 5000).alias("is_prime"),
-            )
+        people = self.source("customer").withColumnRenamed("c_nationkey", "nation_key")
+        return people.join(self._places(), "nation_key").selectExpr(
+            "c_custkey as customer_id",
+            "date_add(date '1994-09-01', cast(c_custkey * 7919 % 2500 as int)) as signup_date",
+            "city",
+            "c_mktsegment as acquisition_channel",
+            "elt(cast(c_custkey % 5 + 1 as int), '18-24', '25-34', '35-44', '45-54', '55+') as age_band",
+            "c_acctbal > 5000 as is_prime",
         )
 
     def _dim_stores(self) -> DataFrame:
-        place = self.source("nation").select("n_nationkey", F.col("n_name").alias("city"))
-        key = F.col("s_suppkey")
-        return (
-            self.source("supplier")
-            .join(place, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(
-                key.alias("store_id"),
-                "city",
-                F.col("s_name").alias("zone"),
-                F.date_add(F.lit("1992-01-01").cast("date"), (key * 37 % 900).cast("int")).alias("opened_date"),
-                (45 + key % 46).cast("int").alias("capacity_orders_per_hour"),
-                ((880 + key * 7 % 300) / 1000).cast("decimal(5,3)").alias("delivery_speed_factor"),
-            )
+        sites = self.source("supplier").withColumnRenamed("s_nationkey", "nation_key")
+        return sites.join(self._places(), "nation_key").selectExpr(
+            "s_suppkey as store_id",
+            "city",
+            "s_name as zone",
+            "date_add(date '1992-01-01', cast(s_suppkey * 37 % 900 as int)) as opened_date",
+            "cast(45 + s_suppkey % 46 as int) as capacity_orders_per_hour",
+            "cast((880 + s_suppkey * 7 % 300) / 1000 as decimal(5,3)) as delivery_speed_factor",
         )
 
     def _dim_products(self) -> DataFrame:
-        key, size = F.col("p_partkey"), F.col("p_size")
-        price = _whole(F.col("p_retailprice"))
-        return self.source("part").select(
-            key.alias("product_id"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("subcategory"),
-            F.when(size <= 14, "Value").when(size <= 40, "Mass").otherwise("Premium").alias("brand_tier"),
-            money(F.floor(price * (48 + key % 36) / 100), "decimal(10,2)").alias("unit_cost"),
-            money(price.cast("bigint"), "decimal(10,2)").alias("list_price"),
-            (2 + size * 7).cast("int").alias("shelf_life_days"),
+        cost = "floor(rint(p_retailprice * 100) * (48 + p_partkey % 36) / 100)"
+        return self.source("part").selectExpr(
+            "p_partkey as product_id",
+            "p_type as category",
+            "p_brand as subcategory",
+            "case when p_size > 40 then 'Premium' when p_size > 14 then 'Mass' else 'Value' end as brand_tier",
+            f"{_decimal(cost, 'decimal(10,2)')} as unit_cost",
+            f"{_decimal('cast(rint(p_retailprice * 100) as bigint)', 'decimal(10,2)')} as list_price",
+            "cast(2 + p_size * 7 as int) as shelf_life_days",
         )
 
     @cached_property
     def _lines_in_cents(self) -> DataFrame:
-        lines = self.source("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.floor(_whole(F.col("l_extendedprice")) / F.col("l_quantity")).alias("price_cents"),
-            F.rint(F.col("l_discount") * 100).alias("percent_off"),
-        )
-        return lines.withColumn(
-            "cost_cents", F.floor(F.col("price_cents") * (48 + F.col("product_id") % 36) / 100)
+        lines = self.source("lineitem").selectExpr(
+            "l_orderkey as order_id",
+            "l_partkey as product_id",
+            "cast(l_quantity as int) as quantity",
+            "floor(rint(l_extendedprice * 100) / l_quantity) as price_cents",
+            "rint(l_discount * 100) as percent_off",
         )
+        return lines.selectExpr("*", "floor(price_cents * (48 + product_id % 36) / 100) as cost_cents")
 
     def _fact_order_items(self) -> DataFrame:
         """The line number repeats within an order, so the line key is the row's place in the scan.
 
         That key costs no shuffle and is unique by construction; it is read for uniqueness only.
         """
-        return self._lines_in_cents.select(
-            F.monotonically_increasing_id().alias("order_item_id"),
+        return self._lines_in_cents.selectExpr(
+            "monotonically_increasing_id() as order_item_id",
             "order_id",
             "product_id",
             "quantity",
-            money(F.col("price_cents"), "decimal(10,2)").alias("unit_selling_price"),
-            money(F.col("cost_cents"), "decimal(10,2)").alias("unit_cost"),
-            money(F.floor(F.col("price_cents") * F.col("percent_off") / 100), "decimal(10,2)").alias("item_discount"),
+            f"{_decimal('price_cents', 'decimal(10,2)')} as unit_selling_price",
+            f"{_decimal('cost_cents', 'decimal(10,2)')} as unit_cost",
+            f"{_decimal('floor(price_cents * percent_off / 100)', 'decimal(10,2)')} as item_discount",
         )
 
     @cached_property
     def _totals(self) -> DataFrame:
-        quantity = F.col("quantity").cast("bigint")
-        return self._lines_in_cents.groupBy("order_id").agg(
-            F.sum(quantity).alias("units"),
-            money(F.sum(quantity * F.col("price_cents"))).alias("item_revenue"),
-            money(F.sum(quantity * F.col("cost_cents"))).alias("cogs"),
+        summed = self._lines_in_cents.groupBy("order_id").agg(
+            F.expr("sum(cast(quantity as bigint)) as units"),
+            F.expr("sum(quantity * price_cents) as revenue_cents"),
+            F.expr("sum(quantity * cost_cents) as goods_cents"),
+        )
+        return summed.selectExpr(
+            "order_id",
+            "units",
+            f"{_decimal('revenue_cents', 'decimal(18,2)')} as item_revenue",
+            f"{_decimal('goods_cents', 'decimal(18,2)')} as cogs",
         )
 
     @cached_property
     def _base(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        stores = self.source("supplier").agg(F.count(F.lit(1))).scalar()
-        urgency, outcome = F.col("o_orderpriority"), F.col("o_orderstatus")
-        seconds = (7 + key * 13 % 16) * 3600 + (key * 17 % 60) * 60 + key * 29 % 60
-        placed = F.col("o_orderdate").cast("timestamp_ntz")
-        return self.source("orders").select(
-            key.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            ((key * 7 + F.col("o_custkey")) % stores).alias("store_id"),
-            F.timestamp_add("SECOND", seconds.cast("int"), placed).alias("order_ts"),
-            F.when((outcome == "P") & (key % 10 == 0), "Cancelled")
-            .when((outcome == "P") & (key % 10 == 1), "Refunded")
-            .otherwise("Delivered")
-            .alias("status"),
-            F.when(urgency == "1-URGENT", "Rainy").when(urgency == "2-HIGH", "Hot").otherwise("Clear").alias("weather"),
-            (40 + key * 11 % 500).alias("hundredths"),
-            (13 + key * 7 % 34).cast("int").alias("minutes"),
+        seconds = "(7 + o_orderkey * 13 % 16) * 3600 + o_orderkey * 17 % 60 * 60 + o_orderkey * 29 % 60"
+        return self.source("orders").withColumn("stores", self.row_count("supplier")).selectExpr(
+            "o_orderkey as order_id",
+            "o_custkey as customer_id",
+            "(o_orderkey * 7 + o_custkey) % stores as store_id",
+            f"timestampadd(second, cast({seconds} as int), cast(o_orderdate as timestamp_ntz)) as order_ts",
+            """case when o_orderstatus = 'P' and o_orderkey % 10 = 0 then 'Cancelled'
+                    when o_orderstatus = 'P' and o_orderkey % 10 = 1 then 'Refunded' else 'Delivered' end as status""",
+            "case o_orderpriority when '1-URGENT' then 'Rainy' when '2-HIGH' then 'Hot' else 'Clear' end as weather",
+            "40 + o_orderkey * 11 % 500 as hundredths",
+            "cast(13 + o_orderkey * 7 % 34 as int) as minutes",
         )
 
     @cached_property
@@ -145,47 +140,33 @@ class MappedStar(Star):
         sort all orders of one customer in one task. The outer grouping repeats the partitioning of
         the join it feeds and tells the optimizer that the ids are unique.
         """
-        earliest = self._base.groupBy("customer_id").agg(
-            F.min(F.struct("order_ts", "order_id")).alias("first")
-        )
-        return earliest.groupBy(F.col("first.order_id").alias("order_id")).agg(
-            F.lit(True).alias("opened_account")
-        )
+        earliest = self._base.groupBy("customer_id").agg(F.expr("min(struct(order_ts, order_id)) as first"))
+        return earliest.groupBy(F.col("first.order_id").alias("order_id")).agg(F.lit(True).alias("opened_account"))
 
     @cached_property
     def orders_with_totals(self) -> DataFrame:
-        key, status = F.col("order_id"), F.col("status")
-        value = F.coalesce(F.col("item_revenue"), F.lit(0).cast("decimal(18,2)"))
         joined = self._base.join(self._totals, "order_id", "left").join(self._first_orders, "order_id", "left")
-        return joined.select(
+        return joined.selectExpr(
             "order_id",
             "customer_id",
             "store_id",
             "order_ts",
-            F.when(status != "Cancelled", F.timestamp_add("MINUTE", F.col("minutes"), F.col("order_ts"))).alias("delivery_ts"),
+            "if(status = 'Cancelled', null, timestampadd(minute, minutes, order_ts)) as delivery_ts",
             "status",
-            F.lit(30).alias("promised_minutes"),
-            F.when(status != "Cancelled", F.col("minutes").cast("decimal(8,2)")).alias("delivery_minutes"),
-            money(F.col("hundredths"), "decimal(8,2)").alias("distance_km"),
+            "30 as promised_minutes",
+            "if(status = 'Cancelled', null, cast(minutes as decimal(8,2))) as delivery_minutes",
+            f"{_decimal('hundredths', 'decimal(8,2)')} as distance_km",
             "weather",
-            F.element_at(
-                F.array(*map(F.lit, ["UPI", "Card", "Wallet", "COD"])),
-                (F.floor(key / 3) % 4 + 1).cast("int"),
-            ).alias("payment_method"),
-            F.when(key % 7 == 0, "WELCOME25").when(key % 7 == 1, "WEEKEND10").alias("campaign_id"),
-            F.when(F.col("customer_id") % 2 == 0, "Control").otherwise("Treatment").alias("experiment_variant"),
-            value.cast("decimal(14,2)").alias("gross_merchandise_value"),
-            F.element_at(F.array(*map(F.lit, [0, 15, 45, 80])), (key % 4 + 1).cast("int"))
-            .cast("decimal(12,2)")
-            .alias("discount_amount"),
-            F.when(F.col("customer_id") % 3 == 0, 0).otherwise(25).cast("decimal(10,2)").alias("delivery_fee"),
-            (5 + key % 8).cast("decimal(10,2)").alias("packaging_fee"),
-            F.when(status == "Refunded", value * F.lit("0.6").cast("decimal(2,1)"))
-            .otherwise(F.lit(0))
-            .cast("decimal(14,2)")
-            .alias("refund_amount"),
-            (29 + F.col("hundredths") % 40).cast("decimal(10,2)").alias("estimated_delivery_cost"),
-            F.coalesce(F.col("opened_account"), F.lit(False)).alias("is_first_order"),
+            "elt(cast(order_id div 3 % 4 + 1 as int), 'UPI', 'Card', 'Wallet', 'COD') as payment_method",
+            "case order_id % 7 when 0 then 'WELCOME25' when 1 then 'WEEKEND10' end as campaign_id",
+            "if(customer_id % 2 = 0, 'Control', 'Treatment') as experiment_variant",
+            "cast(coalesce(item_revenue, 0) as decimal(14,2)) as gross_merchandise_value",
+            "cast(case order_id % 4 when 0 then 0 when 1 then 15 when 2 then 45 else 80 end as decimal(12,2)) as discount_amount",
+            "cast(if(customer_id % 3 = 0, 0, 25) as decimal(10,2)) as delivery_fee",
+            "cast(5 + order_id % 8 as decimal(10,2)) as packaging_fee",
+            "cast(if(status = 'Refunded', coalesce(item_revenue, 0) * 0.6, 0) as decimal(14,2)) as refund_amount",
+            "cast(29 + hundredths % 40 as decimal(10,2)) as estimated_delivery_cost",
+            "coalesce(opened_account, false) as is_first_order",
             "units",
             "item_revenue",
             "cogs",
@@ -195,77 +176,70 @@ class MappedStar(Star):
         return self.orders_with_totals.drop("units", "item_revenue", "cogs")
 
     def _fact_sessions(self) -> DataFrame:
-        orders = self.source("orders").agg(F.count(F.lit(1))).scalar()
-        kind, user = F.col("event_type"), F.col("user_id")
-        return self.source("events").select(
-            F.col("event_id").alias("session_id"),
-            user.alias("customer_id"),
-            F.col("ts").cast("timestamp_ntz").alias("session_ts"),
-            F.when(user % 2 == 0, "Control").otherwise("Treatment").alias("experiment_variant"),
-            (kind != "error").alias("viewed_product"),
-            kind.isin("click", "signup", "purchase").alias("added_to_cart"),
-            kind.isin("signup", "purchase").alias("checkout_started"),
-            (kind == "purchase").alias("converted"),
-            F.when(kind == "purchase", F.col("event_id") % orders).alias("order_id"),
-            (20 + F.floor("value")).cast("int").alias("session_duration_seconds"),
-            F.element_at(F.array(*map(F.lit, ["Android", "iOS", "Web"])), (user % 3 + 1).cast("int")).alias("device_type"),
+        return self.source("events").withColumn("order_rows", self.row_count("orders")).selectExpr(
+            "event_id as session_id",
+            "user_id as customer_id",
+            "cast(ts as timestamp_ntz) as session_ts",
+            "if(user_id % 2 = 0, 'Control', 'Treatment') as experiment_variant",
+            "event_type <> 'error' as viewed_product",
+            "event_type in ('click', 'signup', 'purchase') as added_to_cart",
+            "event_type in ('signup', 'purchase') as checkout_started",
+            "event_type = 'purchase' as converted",
+            "if(event_type = 'purchase', event_id % order_rows, null) as order_id",
+            "cast(20 + floor(value) as int) as session_duration_seconds",
+            "elt(cast(user_id % 3 + 1 as int), 'Android', 'iOS', 'Web') as device_type",
         )
 
     def _fact_inventory_daily(self) -> DataFrame:
-        product, store, sold = F.col("product_id"), F.col("store_id"), F.col("sold")
-        waste = F.least(product % 4, product % 20)
         daily = (
             self.source("lineitem")
-            .groupBy(
-                F.to_date("l_shipdate").alias("inventory_date"),
-                F.col("l_suppkey").alias("store_id"),
-                F.col("l_partkey").alias("product_id"),
+            .selectExpr(
+                "to_date(l_shipdate) as inventory_date", "l_suppkey as store_id", "l_partkey as product_id",
+                "cast(l_quantity as int) as quantity",
             )
-            .agg(F.sum(F.col("l_quantity").cast("int")).alias("sold"))
+            .groupBy("inventory_date", "store_id", "product_id")
+            .agg(F.expr("sum(quantity) as sold"))
         )
-        return daily.select(
+        return daily.selectExpr(
             "inventory_date",
             "store_id",
             "product_id",
-            (sold + product % 20).cast("int").alias("opening_stock"),
-            (store % 9).cast("int").alias("units_received"),
-            sold.cast("int").alias("units_sold"),
-            waste.cast("int").alias("waste_units"),
-            (product % 20 + store % 9 - waste).cast("int").alias("closing_stock"),
-            F.when((product + store) % 6 == 0, 20 + product * store % 280).otherwise(0).cast("int").alias("stockout_minutes"),
+            "cast(sold + product_id % 20 as int) as opening_stock",
+            "cast(store_id % 9 as int) as units_received",
+            "cast(sold as int) as units_sold",
+            "cast(least(product_id % 4, product_id % 20) as int) as waste_units",
+            "cast(product_id % 20 + store_id % 9 - least(product_id % 4, product_id % 20) as int) as closing_stock",
+            "cast(if((product_id + store_id) % 6 = 0, 20 + product_id * store_id % 280, 0) as int) as stockout_minutes",
         )
 
     def _fact_marketing_spend(self) -> DataFrame:
-        """Order rows meet customers on ``o_custkey``; AQE splits the partition of a heavy customer."""
-        place = self.source("nation").select("n_nationkey", F.col("n_name").alias("city"))
-        buyer = (
+        """Order rows meet customers on the customer key; AQE splits the partition of a heavy one."""
+        buyers = (
             self.source("customer")
-            .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(F.col("c_custkey").alias("buyer_id"), "city", F.col("c_mktsegment").alias("acquisition_channel"))
+            .withColumnRenamed("c_nationkey", "nation_key")
+            .join(self._places(), "nation_key")
+            .selectExpr("c_custkey as buyer_id", "city", "c_mktsegment as acquisition_channel")
         )
-        day, channel = F.col("spend_date"), F.col("acquisition_channel")
         grouped = (
             self.source("orders")
-            .select(
-                F.col("o_custkey").alias("buyer_id"),
-                F.to_date("o_orderdate").alias("spend_date"),
-                F.col("o_orderkey").alias("order_key"),
-                _whole(F.col("o_totalprice")).cast("bigint").alias("total_cents"),
+            .selectExpr(
+                "o_custkey as buyer_id", "to_date(o_orderdate) as spend_date", "o_orderkey as order_key",
+                "cast(rint(o_totalprice * 100) as bigint) as total_cents",
             )
-            .join(buyer, "buyer_id")
+            .join(buyers, "buyer_id")
             .groupBy("spend_date", "city", "acquisition_channel")
             .agg(
-                F.sum(F.col("order_key") % 16000).alias("seen"),
-                F.sum(F.col("order_key") % 400).alias("clicked"),
-                F.sum(F.col("total_cents") % 5000000).alias("spent_cents"),
+                F.expr("sum(order_key % 16000) as seen"),
+                F.expr("sum(order_key % 400) as clicked"),
+                F.expr("sum(total_cents % 5000000) as spent_cents"),
             )
         )
-        return grouped.select(
+        return grouped.selectExpr(
             "spend_date",
             "city",
             "acquisition_channel",
-            F.concat_ws("-", channel, (F.year(day) * 100 + F.month(day)).cast("string")).alias("campaign_id"),
-            (2000 + F.col("seen")).alias("impressions"),
-            (50 + F.col("clicked")).alias("clicks"),
-            money(F.when(channel == "FURNITURE", F.lit(0)).otherwise(F.col("spent_cents")), "decimal(16,2)").alias("spend"),
+            "concat(acquisition_channel, '-', cast(year(spend_date) * 100 + month(spend_date) as string)) as campaign_id",
+            "2000 + seen as impressions",
+            "50 + clicked as clicks",
+            f"""{_decimal("if(acquisition_channel = 'FURNITURE', 0, spent_cents)", 'decimal(16,2)')} as spend""",
         )

@@ -243,11 +243,20 @@ def _headline(star: Star) -> DataFrame:
     )
 
 
+def _beside(df: DataFrame, *one_rows: DataFrame) -> DataFrame:
+    """A one-row table widened by other one-row tables, each read as a scalar subquery."""
+    for number, other in enumerate(one_rows):
+        name = f"_side{number}"
+        df = df.select("*", other.select(F.struct("*")).scalar().alias(name)).select(
+            "*", *[F.col(f"{name}.{c}") for c in other.columns]
+        ).drop(name)
+    return df
+
+
 def _headline_with_sessions(star: Star) -> DataFrame:
-    """Order and session figures side by side: two one-row tables joined on a constant key."""
-    left = _headline(star).withColumn("one", F.lit(1))
-    right = experiment_significance(star).withColumn("one", F.lit(1))
-    return left.join(right, "one").drop("one")
+    """Order and session figures side by side, with the test of the two conversion rates."""
+    z, p = two_proportion_test(*(F.col(c) for c in ("x_control", "n_control", "x_treatment", "n_treatment")))
+    return _beside(_headline(star), business.session_counts(star)).select("*", z.alias("z_score"), p.alias("p_value"))
 
 
 def _conversion(variant: str) -> Column:
@@ -313,12 +322,7 @@ def executive_memo_facts(star: Star) -> DataFrame:
         F.col("store_id").alias("weakest_store_id"), F.col("zone").alias("weakest_zone"),
         F.col("city").alias("weakest_city"), F.col("contribution_margin").alias("weakest_margin"),
     )
-    one = F.lit(1).alias("one")
-    facts = (
-        _headline_with_sessions(star).select("*", one)
-        .join(repeat.select("*", one), "one")
-        .join(weakest.select("*", one), "one", "left")
-    )
+    facts = _beside(_headline_with_sessions(star), repeat, weakest)
     return facts.select(
         "orders", "customers", "contribution_margin",
         ratio(F.col("contribution_margin"), F.col("net_revenue")).alias("margin_rate"),

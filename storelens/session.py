@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 _OWN_FOLDER: dict[str, str] = {}
 
 
-def build_session(master: str | None = None, cores: int = 8, app_name: str = "storelens") -> SparkSession:
+def build_session(master: str | None = None, cores: int = 8, app_name: str = "storelens",
+                  settings: dict[str, str] | None = None) -> SparkSession:
     """A session for local work; on a cluster use the session the cluster hands out."""
     builder = SparkSession.builder.appName(app_name)
+    for name, value in (settings or {}).items():
+        builder = builder.config(name, value)
     if master:
         builder = (
             builder.master(master)

@@ -126,10 +126,8 @@ def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     kinds = TABLES[name].column_types()
     present = spark.read.csv(path, header=True, inferSchema=False).columns
     text = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in present)
-    return spark.read.schema(text).csv(
-        path, header=True, enforceSchema=False, mode="FAILFAST",
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    )
+    reader = spark.read.schema(text).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]")
+    return reader.csv(path, header=True, enforceSchema=False, mode="FAILFAST")
 
 
 def read_csv_star(spark: SparkSession, folder: str) -> Star:

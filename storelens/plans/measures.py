@@ -1,9 +1,11 @@
 """Named business measures, computed by any related dimension under any filter.
 
-A measure belongs to one fact. ``measure`` joins only the dimensions that the grouping or a filter
-names, sums once per fact and derives the ratios from the sums. Dimensions filter facts one way, so
-a dimension that is not related to a measure's fact is an error rather than a repeated total.
-Order and session ids are primary keys, so counting them distinctly is counting rows.
+A measure belongs to one fact. ``measure`` folds the fact to one row per key of the dimensions that
+the grouping or a filter names, joins those dimensions to the folded rows, and derives ratios from
+the sums: no dimension ever meets the raw fact, however many rows one store or product holds.
+Dimensions filter facts one way, so a dimension that is not related to a measure's fact is an error
+rather than a repeated total. Order and session ids are primary keys, so counting them distinctly is
+counting rows.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ RELATED: dict[str, dict[str, str]] = {
 
 @dataclass(frozen=True)
 class Base:
-    """An aggregate over the rows of one fact."""
+    """An aggregate over the rows of one fact. Partial results add up, unless ``distinct`` names the
+    column whose different values are counted."""
 
     fact: str
     build: Callable[[], Column]
+    distinct: str | None = None
 
 
 @dataclass(frozen=True)
@@ -62,7 +66,7 @@ MEASURES: dict[str, Base | Derived] = {
     "delivered_orders": Base("orders", lambda: F.count_if(F.col("status") == "Delivered")),
     "cancelled_orders": Base("orders", lambda: F.count_if(is_cancelled())),
     "kept_orders": Base("orders", lambda: F.count_if(not_cancelled())),
-    "customers": Base("orders", lambda: F.count_distinct("customer_id")),
+    "customers": Base("orders", lambda: F.count_distinct("customer_id"), distinct="customer_id"),
     "placed_gmv": Base("orders", _sum_where("gross_merchandise_value")),
     "realized_gmv": Base("orders", _sum_where("gross_merchandise_value", not_cancelled)),
     "net_revenue": Base("orders", _sum_where("net_revenue")),
@@ -128,36 +132,63 @@ def column_name(field: str) -> str:
     return field.replace(".", "_")
 
 
-def in_context(star: Star, fact: str, by: list[str], where: dict | None) -> DataFrame:
-    """Rows of a fact with the named dimension columns attached and the filters applied.
-
-    ``where`` maps a field to one value or a list of values.
-    """
-    df, where = _facts(star, fact), where or {}
-    wanted: dict[str, list[str]] = {}
-    for field in dict.fromkeys([*by, *where]):
-        if "." not in field:
-            if field not in df.columns:
-                raise ValueError(f"{fact} has no column {field!r}")
-            continue
-        dim, column = field.split(".")
-        if dim not in RELATED[fact]:
-            raise ValueError(f"{dim} is not related to {fact}")
-        wanted.setdefault(dim, []).append(column)
-    for dim, columns in wanted.items():
-        key = RELATED[fact][dim]
-        if dim == "date":
-            attributes = calendar_columns(F.col(key)) | {"date": F.col(key)}
-            for c in columns:
-                df = df.withColumn(f"date_{c}", attributes[c])
-        else:
-            # An outer join keeps facts whose key has no match, under null.
-            side = getattr(star, dim).select(key, *[F.col(c).alias(f"{dim}_{c}") for c in columns])
-            df = df.join(side, key, "left")
-    for field, values in where.items():
-        values = values if isinstance(values, (list, tuple, set)) else [values]
-        df = df.where(F.col(column_name(field)).isin(*values))
-    return df
+@dataclass(frozen=True)
+class Context:
+    """Grouping and filters of one fact: columns of the fact itself, and columns of dimensions."""
+
+    own: dict[str, Column]
+    keys: dict[str, str]
+    dims: dict[str, list[str]]
+
+    @staticmethod
+    def of(fact: str, by: list[str], where: dict) -> "Context":
+        own: dict[str, Column] = {}
+        keys: dict[str, str] = {}
+        dims: dict[str, list[str]] = {}
+        for field in dict.fromkeys([*by, *where]):
+            dim, _, column = field.rpartition(".")
+            if not dim:
+                own[field] = F.col(field)
+            elif dim not in RELATED[fact]:
+                raise ValueError(f"{dim} is not related to {fact}")
+            elif dim == "date":
+                day = F.col(RELATED[fact][dim])
+                own[column_name(field)] = (calendar_columns(day) | {"date": day})[column]
+            else:
+                keys[dim] = RELATED[fact][dim]
+                dims.setdefault(dim, []).append(column)
+        return Context(own, keys, dims)
+
+    def fold_keys(self) -> list[Column]:
+        """What the fact is folded by: its own fields and the keys of the dimensions."""
+        return [c.alias(n) for n, c in self.own.items()] + [F.col(k).alias(f"_{d}") for d, k in self.keys.items()]
+
+    def attach(self, star: Star, folded: DataFrame, where: dict) -> DataFrame:
+        """Dimension columns on the folded rows, then the filters. The outer join keeps rows whose
+        key has no match, under null."""
+        for dim, columns in self.dims.items():
+            side = getattr(star, dim).select(
+                F.col(self.keys[dim]).alias(f"_{dim}"), *[F.col(c).alias(f"{dim}_{c}") for c in columns]
+            )
+            folded = folded.join(side, f"_{dim}", "left")
+        for field, values in where.items():
+            values = values if isinstance(values, (list, tuple, set)) else [values]
+            folded = folded.where(F.col(column_name(field)).isin(*values))
+        return folded
+
+
+def _grouped(star: Star, fact: str, bases: list[str], by: list[str], where: dict) -> DataFrame:
+    """Base measures of one fact per group."""
+    context = Context.of(fact, by, where)
+    sums = [b for b in bases if not MEASURES[b].distinct]
+    counted = [b for b in bases if MEASURES[b].distinct]
+    extra = [F.col(c) for c in dict.fromkeys(MEASURES[b].distinct for b in counted)]
+    folded = _facts(star, fact).groupBy(*context.fold_keys(), *extra).agg(
+        F.count(F.lit(1)).alias("_rows"), *[MEASURES[b].build().alias(b) for b in sums]
+    )
+    return context.attach(star, folded, where).groupBy(*[column_name(f) for f in by]).agg(
+        *[F.sum(b).alias(b) for b in sums], *[MEASURES[b].build().alias(b) for b in counted]
+    )
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -174,11 +205,10 @@ def measure(star: Star, names: list[str] | str, by: list[str] | None = None, whe
     names, by = [names] if isinstance(names, str) else list(names), by or []
     bases = _needed(names)
     keys = [column_name(f) for f in by]
-    parts = []
-    for fact in dict.fromkeys(MEASURES[b].fact for b in bases):
-        of_fact = [b for b in bases if MEASURES[b].fact == fact]
-        rows = in_context(star, fact, by, where)
-        parts.append(rows.groupBy(*keys).agg(*[MEASURES[b].build().alias(f"{b}") for b in of_fact]))
+    parts = [
+        _grouped(star, fact, [b for b in bases if MEASURES[b].fact == fact], by, where or {})
+        for fact in dict.fromkeys(MEASURES[b].fact for b in bases)
+    ]
     result = reduce(lambda a, b: _join_on(a, b, keys), parts)
 
     def derive(df: DataFrame, name: str) -> DataFrame:
@@ -199,12 +229,14 @@ def repeat_customers(star: Star, by: list[str] | None = None, where: dict | None
 
     Two different order ids mean the smallest and largest differ, which combines before the shuffle.
     """
-    by = by or []
+    by, where = by or [], where or {}
     keys = [column_name(f) for f in by]
-    per_customer = (
-        in_context(star, "orders", by, where)
-        .groupBy(*keys, "customer_id")
-        .agg((F.min("order_id") != F.max("order_id")).alias("repeated"))
+    context = Context.of("orders", by, where)
+    folded = _facts(star, "orders").groupBy(*context.fold_keys(), "customer_id").agg(
+        F.min("order_id").alias("low"), F.max("order_id").alias("high")
+    )
+    per_customer = context.attach(star, folded, where).groupBy(*keys, "customer_id").agg(
+        (F.min("low") != F.max("high")).alias("repeated")
     )
     return (
         per_customer.groupBy(*keys)
@@ -215,12 +247,15 @@ def repeat_customers(star: Star, by: list[str] | None = None, where: dict | None
 
 def gmv_month_over_month(star: Star, by: list[str] | None = None, where: dict | None = None) -> DataFrame:
     """Realised GMV per month beside that of the calendar month before; a missing month gives null."""
-    by = by or []
+    by, where = by or [], where or {}
     keys = [column_name(f) for f in by]
-    rows = in_context(star, "orders", by, where)
-    monthly = rows.groupBy(*keys, F.trunc("order_date", "month").alias("month")).agg(
-        MEASURES["realized_gmv"].build().alias("realized_gmv")
+    context = Context.of("orders", by, where)
+    folded = (
+        _facts(star, "orders")
+        .groupBy(*context.fold_keys(), F.trunc("order_date", "month").alias("month"))
+        .agg(MEASURES["realized_gmv"].build().alias("realized_gmv"))
     )
+    monthly = context.attach(star, folded, where).groupBy(*keys, "month").agg(F.sum("realized_gmv").alias("realized_gmv"))
     before = monthly.select(
         *[F.col(k).alias(f"_{k}") for k in keys],
         F.add_months("month", 1).alias("_month"),

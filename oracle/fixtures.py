@@ -25,8 +25,7 @@ select p_partkey as product_id, p_type as category, p_brand as subcategory,
 from part
 """,
     "fact_order_items": """
-select l_orderkey*1000000 + row_number() over (partition by l_orderkey
-    order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax) as order_item_id,
+select row_number() over () as order_item_id,
   l_orderkey as order_id, l_partkey as product_id, cast(l_quantity as int) as quantity,
   cast(cast(floor(round(l_extendedprice*100) / l_quantity) as decimal(12,0)) * cast(0.01 as decimal(3,2)) as decimal(10,2)) as unit_selling_price,
   cast(cast(floor(floor(round(l_extendedprice*100) / l_quantity) * (48 + l_partkey % 36) / 100) as decimal(12,0)) * cast(0.01 as decimal(3,2)) as decimal(10,2)) as unit_cost,

@@ -89,29 +89,46 @@ def keys_at_ranks(df: DataFrame, keys, ranks: list[int], rows: int, small: int |
         if not wanted:
             continue
         if size <= small:
-            place = F.row_number().over(Window.orderBy(*[k.order() for k in keys])) + before
-            for row in part.withColumn("_rank", place).where(F.col("_rank").isin(wanted)).collect():
-                found[row["_rank"]] = row
+            found |= _rows_within(part.withColumn("_slice", F.lit(0)), keys, {0: (before, wanted)})
             continue
         splits = _pick_splits(part, keys, size)
         numbered = part.withColumn("_slice", _slice_number(keys, splits))
         counts = {r["_slice"]: r["count"] for r in numbered.groupBy("_slice").count().collect()}
-        start = before
+        start, ready = before, {}
         for number in range(len(splits) + 1):
             count = counts.get(number, 0)
             inside = [r for r in wanted if start < r <= start + count]
-            if inside:
-                bounds = []
-                if number > 0:
-                    bounds.append(at_or_after(keys, splits[number - 1]))
-                if number < len(splits):
-                    bounds.append(~at_or_after(keys, splits[number]))
-                narrowed = part.where(reduce(lambda a, b: a & b, bounds)) if bounds else part
-                pending.append((narrowed, count, start, inside))
+            if inside and count <= small:
+                ready[number] = (start, inside)
+            elif inside:
+                pending.append((part.where(_within(keys, splits, number)), count, start, inside))
             start += count
+        if ready:
+            found |= _rows_within(numbered, keys, ready)
     return found
 
 
+def _within(keys: list[Key], splits: list[Row], number: int) -> Column:
+    """True for the rows of one slice, as plain comparisons that reach the scan."""
+    bounds = [F.lit(True)]
+    if number > 0:
+        bounds.append(at_or_after(keys, splits[number - 1]))
+    if number < len(splits):
+        bounds.append(~at_or_after(keys, splits[number]))
+    return reduce(lambda a, b: a & b, bounds)
+
+
+def _rows_within(numbered: DataFrame, keys: list[Key], slices: dict[int, tuple[int, list[int]]]) -> dict[int, Row]:
+    """Wanted rows of small slices, each given by the ranks before it and the ranks wanted in it."""
+    place = F.row_number().over(Window.partitionBy("_slice").orderBy(*[k.order() for k in keys]))
+    wanted = reduce(
+        lambda a, b: a | b,
+        [(F.col("_slice") == n) & F.col("_place").isin([r - start for r in inside]) for n, (start, inside) in slices.items()],
+    )
+    near = numbered.where(F.col("_slice").isin(list(slices))).withColumn("_place", place).where(wanted)
+    return {slices[r["_slice"]][0] + r["_place"]: r for r in near.collect()}
+
+
 def _tile_starts(rows: int, n: int, method: str) -> list[int]:
     """First rank of tiles 2 to n; a rank beyond ``rows`` marks an empty tile."""
     if method == "ntile":

@@ -433,26 +433,42 @@ def q23_margin_concentration(star: Star, small: int | None = None) -> DataFrame:
     return grouped.withColumn("margin_share", rounded(ratio(F.col("contribution_margin"), total), 4)).orderBy("value_quintile")
 
 
+# Pieces into which the lines of one order are spread when they meet their order.
+PIECES = 16
+
+
 def q24_category_refunds(star: Star) -> DataFrame:
-    """Lines of orders that were not refunded fold into one row per product, which keeps their
-    categories in the result; refunded lines fold per product and order before any join."""
+    """Refunded value by category, each refund shared out by line value.
+
+    Only lines of refunded orders need their order, so the join is inner and Spark may filter the
+    lines by the refunded ids before they move. Refunded orders are few: each is repeated once per
+    piece and an order's lines spread over the pieces by product, so that no order, however many
+    lines it holds, ends in one task. Categories without refunds come from the products sold.
+    """
     refunded = star.orders.where(F.col("status") == "Refunded").select(
-        F.col("order_id").alias("refunded_id"),
+        "order_id",
         F.col("refund_amount").cast("double").alias("refund"),
         F.col("gross_merchandise_value").cast("double").alias("value"),
+        F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("piece"),
     )
+    category = star.products.select("product_id", "category")
     line_value = (F.col("quantity") * cents("unit_selling_price")) / F.lit(100.0)
-    folded = (
-        star.order_items.join(refunded, F.col("order_id") == F.col("refunded_id"), "left")
-        .groupBy("product_id", "refunded_id")
+    shared = (
+        star.order_items.withColumn("piece", F.pmod(F.xxhash64("product_id"), F.lit(PIECES)).cast("int"))
+        .join(refunded, ["order_id", "piece"])
+        .groupBy("product_id", "order_id")
         .agg(F.sum(F.col("refund") * line_value / F.nullif(F.col("value"), F.lit(0.0))).alias("allocated"))
+        .join(category, "product_id")
+        .groupBy("category")
+        .agg(F.count_distinct("order_id").alias("refunded_orders"), F.sum("allocated").alias("allocated"))
     )
+    sold = star.order_items.select("product_id").distinct().join(category, "product_id").select("category").distinct()
     return (
-        folded.join(star.products.select("product_id", "category"), "product_id")
-        .groupBy("category")
-        .agg(
-            F.count_distinct("refunded_id").alias("refunded_orders"),
-            rounded(F.sum("allocated"), 2).alias("allocated_refund_value"),
+        sold.join(shared, "category", "left")
+        .select(
+            "category",
+            F.coalesce("refunded_orders", F.lit(0)).alias("refunded_orders"),
+            rounded(F.col("allocated"), 2).alias("allocated_refund_value"),
         )
         .orderBy(F.desc_nulls_last("allocated_refund_value"), "category")
     )

@@ -32,6 +32,8 @@ def build_session(master: str | None = None, cores: int = 8, app_name: str = "st
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A join whose partitions all prove small at run time hashes them instead of sorting both sides.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         # Recording a Python call site for every column operation doubles the time to build a plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 18 digits is the widest decimal Spark keeps in a machine word.
-MONEY = "decimal(18,2)"
-# Holds any sum of whole cents that a 64-bit integer holds.
-WIDE_MONEY = "decimal(21,2)"
+# Holds any sum of whole cents that a 64-bit integer holds, so that an order or product with a large
+# share of all lines cannot overflow.
+MONEY = "decimal(21,2)"
 
 LATE_AFTER_MINUTES = 35
 ON_TIME, LATE, REFUNDED, CANCELLED = "On time (<=35m)", "Late (>35m)", "Refunded", "Cancelled"
@@ -25,8 +24,7 @@ def cents(c: Column | str) -> Column:
 
 def money(c: Column, kind: str = MONEY) -> Column:
     """Whole cents back to a decimal."""
-    whole = "decimal(19,0)" if kind == WIDE_MONEY else "decimal(18,0)"
-    return (c.cast(whole) * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
+    return (c.cast("decimal(19,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -100,7 +100,7 @@ MEASURES: dict[str, Base | Derived] = {
     # Realised cost at line grain, for grouping by product.
     "line_cogs": Base(
         "order_items",
-        lambda: money(F.sum(F.when(not_cancelled(), F.col("quantity").cast("bigint") * cents("unit_cost"))), "decimal(21,2)"),
+        lambda: money(F.sum(F.when(not_cancelled(), F.col("quantity").cast("bigint") * cents("unit_cost")))),
     ),
 }
 

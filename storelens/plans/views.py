@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.functions.columns import MONEY, WIDE_MONEY, average, cents, is_cancelled, money, not_cancelled, rate
+from storelens.functions.columns import MONEY, average, cents, is_cancelled, money, not_cancelled, rate
 from storelens.operators.sequence import HEAVY_ROWS, HEAVY_SHARE, next_in_group
 from storelens.sources.star import Star
 
@@ -94,8 +94,8 @@ def product_sums(star: Star) -> DataFrame:
     revenue, cost = F.sum(quantity * cents("unit_selling_price")), F.sum(quantity * cents("unit_cost"))
     return realized_lines(star).groupBy("product_id").agg(
         F.sum(quantity).alias("units"),
-        money(revenue, WIDE_MONEY).alias("item_revenue"),
-        money(revenue - cost, WIDE_MONEY).alias("gross_profit"),
+        money(revenue).alias("item_revenue"),
+        money(revenue - cost).alias("gross_profit"),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.functions.columns import MONEY
 from storelens.sources.star import Star
 
 
@@ -21,7 +22,7 @@ def _file_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def _decimal(cents: str, kind: str) -> str:
-    return f"cast(cast({cents} as decimal(18,0)) * 0.01 as {kind})"
+    return f"cast(cast({cents} as decimal(19,0)) * 0.01 as {kind})"
 
 
 class MappedStar(Star):
@@ -113,8 +114,8 @@ class MappedStar(Star):
         return summed.selectExpr(
             "order_id",
             "units",
-            f"{_decimal('revenue_cents', 'decimal(18,2)')} as item_revenue",
-            f"{_decimal('goods_cents', 'decimal(18,2)')} as cogs",
+            f"{_decimal('revenue_cents', MONEY)} as item_revenue",
+            f"{_decimal('goods_cents', MONEY)} as cogs",
         )
 
     @cached_property
@@ -160,11 +161,11 @@ class MappedStar(Star):
             "elt(cast(order_id div 3 % 4 + 1 as int), 'UPI', 'Card', 'Wallet', 'COD') as payment_method",
             "case order_id % 7 when 0 then 'WELCOME25' when 1 then 'WEEKEND10' end as campaign_id",
             "if(customer_id % 2 = 0, 'Control', 'Treatment') as experiment_variant",
-            "cast(coalesce(item_revenue, 0) as decimal(14,2)) as gross_merchandise_value",
+            f"cast(coalesce(item_revenue, 0) as {MONEY}) as gross_merchandise_value",
             "cast(case order_id % 4 when 0 then 0 when 1 then 15 when 2 then 45 else 80 end as decimal(12,2)) as discount_amount",
             "cast(if(customer_id % 3 = 0, 0, 25) as decimal(10,2)) as delivery_fee",
             "cast(5 + order_id % 8 as decimal(10,2)) as packaging_fee",
-            "cast(if(status = 'Refunded', coalesce(item_revenue, 0) * 0.6, 0) as decimal(14,2)) as refund_amount",
+            f"cast(if(status = 'Refunded', coalesce(item_revenue, 0) * 0.6, 0) as {MONEY}) as refund_amount",
             "cast(29 + hundredths % 40 as decimal(10,2)) as estimated_delivery_cost",
             "coalesce(opened_account, false) as is_first_order",
             "units",
@@ -241,5 +242,5 @@ class MappedStar(Star):
             "concat(acquisition_channel, '-', cast(year(spend_date) * 100 + month(spend_date) as string)) as campaign_id",
             "2000 + seen as impressions",
             "50 + clicked as clicks",
-            f"""{_decimal("if(acquisition_channel = 'FURNITURE', 0, spent_cents)", 'decimal(16,2)')} as spend""",
+            f"""{_decimal("if(acquisition_channel = 'FURNITURE', 0, spent_cents)", MONEY)} as spend""",
         )

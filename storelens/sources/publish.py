@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.plans import marts, quality, views
@@ -26,6 +26,8 @@ MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "inventory_product_kpis": marts.inventory_product_kpis,
     "inventory_store_kpis": marts.inventory_store_kpis,
 }
+# Marts with a date column, written in date folders on request so that readers skip other days.
+DATED = {"order_economics": "order_date", "daily_store_kpis": "order_date"}
 # Two facts join on the order id in almost every plan; hashed alike on disk, they join in place.
 BUCKETED = {"fact_orders": "order_id", "fact_order_items": "order_id"}
 
@@ -48,20 +50,20 @@ class _PricedStar(Star):
         return self.priced
 
 
-def _write(df: DataFrame, path: str, form: str) -> None:
-    if form == "csv":
-        df.write.mode("overwrite").csv(path, header=True)
-    elif form == "json":
-        df.write.mode("overwrite").json(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+def _write(df: DataFrame, path: str, form: str, date: str | None = None) -> None:
+    """Write one mart; by date, rows are first balanced so that a day fills few files and a heavy
+    day is split over several."""
+    if date:
+        df = df.hint("rebalance", F.col(date))
+    writer = df.write.mode("overwrite").format(form).option("header", "true")
+    (writer.partitionBy(date) if date else writer).save(path)
 
 
 def _read(spark: SparkSession, path: str, form: str) -> DataFrame:
     return spark.read.csv(path, header=True) if form == "csv" else spark.read.format(form).load(path)
 
 
-def publish_marts(star: Star, folder: str, form: str = "parquet") -> DataFrame:
+def publish_marts(star: Star, folder: str, form: str = "parquet", by_date: bool = False) -> DataFrame:
     """Write the twelve marts, read each back, and fail when a count differs.
 
     Counts are taken by the writing job itself, so no mart is computed twice. Returns mart,
@@ -71,9 +73,9 @@ def publish_marts(star: Star, folder: str, form: str = "parquet") -> DataFrame:
     for name, build in MARTS.items():
         path = f"{folder.rstrip('/')}/{name}"
         frame = build(priced)
-        observed = F.count(F.lit(1)).alias("n")
-        watch = _observe(name)
-        _write(frame.observe(watch, observed), path, form)
+        watch = Observation(f"rows of {name}")
+        counted = frame.observe(watch, F.count(F.lit(1)).alias("n"))
+        _write(counted, path, form, DATED.get(name) if by_date else None)
         written, read = watch.get["n"], _read(spark, path, form).count()
         if written != read:
             raise RuntimeError(f"{name}: wrote {written} rows, found {read}")
@@ -81,12 +83,6 @@ def publish_marts(star: Star, folder: str, form: str = "parquet") -> DataFrame:
     return spark.createDataFrame(done, "mart string, rows_written bigint, rows_read bigint")
 
 
-def _observe(name: str):
-    from pyspark.sql import Observation
-
-    return Observation(f"rows of {name}")
-
-
 def write_executive_kpis(star: Star, path: str) -> None:
     """The 15 headline figures as one JSON object in a part file."""
     marts.executive_kpis(star).write.mode("overwrite").json(path)
@@ -99,19 +95,21 @@ def write_quality_report(report: DataFrame, path: str) -> None:
     quality.quality_summary(held).write.mode("overwrite").json(f"{path}/summary")
 
 
-def load_tables(star: Star, database: str, buckets: int = 200, tables: list[str] | None = None) -> dict[str, int]:
+def load_tables(star: Star, database: str, buckets: int | None = None, tables: list[str] | None = None) -> dict[str, int]:
     """Append the star's tables to a warehouse database and reconcile the row counts.
 
-    Order and line tables are bucketed and sorted by order id, so their join moves no data.
+    With ``buckets`` the order and line tables are bucketed and sorted by order id, and their join
+    moves no data. One task then reads each bucket, so leave it out where a single order may hold a
+    large share of all lines: a shuffled join can split such a key, a bucket cannot be split.
     """
     spark, counts = star.spark, {}
     spark.sql(f"create database if not exists `{database}`")
     for name in tables or list(TABLES):
         target = f"`{database}`.`{name}`"
         before = spark.table(target).count() if spark.catalog.tableExists(f"{database}.{name}") else 0
-        watch = _observe(name)
+        watch = Observation(f"rows of {name}")
         writer = star.table(name).observe(watch, F.count(F.lit(1)).alias("n")).write.mode("append").format("parquet")
-        if name in BUCKETED:
+        if buckets and name in BUCKETED:
             writer = writer.bucketBy(buckets, BUCKETED[name]).sortBy(BUCKETED[name])
         writer.saveAsTable(f"{database}.{name}")
         loaded, found = watch.get["n"], spark.table(target).count() - before

@@ -86,6 +86,16 @@ def test_publish_marts(spark, star, tmp_path, form):
     assert counts["order_economics"] == 1473 and counts["demand_forecast"] == 28
 
 
+def test_publish_by_date(spark, star, tmp_path, monkeypatch):
+    wanted = {n: publish.MARTS[n] for n in ("order_economics", "store_kpis")}
+    monkeypatch.setattr(publish, "MARTS", wanted)
+    publish.publish_marts(star, str(tmp_path), by_date=True)
+    day = views.economics(star).selectExpr("min(to_date(order_ts)) as day").first()["day"]
+    back = spark.read.parquet(str(tmp_path / "order_economics")).where(f"order_date = date'{day}'")
+    assert "PartitionFilters: [isnotnull(order_date" in back._jdf.queryExecution().executedPlan().toString()
+    assert back.count() == views.economics(star).where(f"to_date(order_ts) = date'{day}'").count() > 0
+
+
 def test_kpi_json(star, tmp_path):
     publish.write_executive_kpis(star, str(tmp_path / "kpis"))
     part = next(p for p in (tmp_path / "kpis").iterdir() if p.name.startswith("part"))

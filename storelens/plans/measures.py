@@ -177,38 +177,47 @@ class Context:
         return folded
 
 
-def _grouped(star: Star, fact: str, bases: list[str], by: list[str], where: dict) -> DataFrame:
-    """Base measures of one fact per group."""
+def _sums(star: Star, fact: str, bases: list[str], by: list[str], where: dict) -> DataFrame:
+    """Additive base measures of one fact per group."""
     context = Context.of(fact, by, where)
-    sums = [b for b in bases if not MEASURES[b].distinct]
-    counted = [b for b in bases if MEASURES[b].distinct]
-    extra = [F.col(c) for c in dict.fromkeys(MEASURES[b].distinct for b in counted)]
-    folded = _facts(star, fact).groupBy(*context.fold_keys(), *extra).agg(
-        F.count(F.lit(1)).alias("_rows"), *[MEASURES[b].build().alias(b) for b in sums]
-    )
-    return context.attach(star, folded, where).groupBy(*[column_name(f) for f in by]).agg(
-        *[F.sum(b).alias(b) for b in sums], *[MEASURES[b].build().alias(b) for b in counted]
-    )
+    folded = _facts(star, fact).groupBy(*context.fold_keys()).agg(*[MEASURES[b].build().alias(b) for b in bases])
+    return context.attach(star, folded, where).groupBy(*[column_name(f) for f in by]).agg(*[F.sum(b).alias(b) for b in bases])
+
+
+def _distinct(star: Star, base: str, by: list[str], where: dict) -> DataFrame:
+    """One distinct count per group, from the narrow set of (group, value) pairs. Counted apart from
+    the sums, or every sum would travel once per pair."""
+    entry = MEASURES[base]
+    context = Context.of(entry.fact, by, where)
+    pairs = _facts(star, entry.fact).select(*context.fold_keys(), entry.distinct).distinct()
+    return context.attach(star, pairs, where).groupBy(*[column_name(f) for f in by]).agg(entry.build().alias(base))
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Full join of two grouped results whose keys may be null; each has one row per group."""
+    """Two grouped results side by side. Groups may be null and may miss on one side; ungrouped
+    results are single rows, read as a scalar subquery."""
+    if not keys:
+        row = right.select(F.struct("*")).scalar()
+        return left.select("*", row.alias("_right")).select(*left.columns, *[F.col(f"_right.{c}") for c in right.columns])
     renamed = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]) if keys else F.lit(True)
-    joined = left.join(renamed, condition, "full")
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     rest = [c for c in [*left.columns, *right.columns] if c not in keys]
-    return joined.select(*[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys], *rest)
+    return left.join(renamed, condition, "full").select(
+        *[F.coalesce(F.col(k), F.col(f"_{k}")).alias(k) for k in keys], *rest
+    )
 
 
 def measure(star: Star, names: list[str] | str, by: list[str] | None = None, where: dict | None = None) -> DataFrame:
-    """The named measures per group. One pass per fact; results of several facts join on the groups."""
+    """The named measures per group. One pass per fact and distinct count; results join on the groups."""
     names, by = [names] if isinstance(names, str) else list(names), by or []
     bases = _needed(names)
     keys = [column_name(f) for f in by]
-    parts = [
-        _grouped(star, fact, [b for b in bases if MEASURES[b].fact == fact], by, where or {})
-        for fact in dict.fromkeys(MEASURES[b].fact for b in bases)
-    ]
+    parts = []
+    for fact in dict.fromkeys(MEASURES[b].fact for b in bases):
+        additive = [b for b in bases if MEASURES[b].fact == fact and not MEASURES[b].distinct]
+        if additive:
+            parts.append(_sums(star, fact, additive, by, where or {}))
+    parts += [_distinct(star, b, by, where or {}) for b in bases if MEASURES[b].distinct]
     result = reduce(lambda a, b: _join_on(a, b, keys), parts)
 
     def derive(df: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import DATA
+from storelens.batch import QualityFailed, run_batch
 from storelens.plans import business, quality, views
 from storelens.session import shared_folder, write_once
 from storelens.sources import MappedStar, publish, read_csv_star, read_parquet_star
@@ -130,3 +131,17 @@ def test_shared_folder_is_the_named_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     df = write_once(spark.range(5).withColumn("d", F.lit(1).cast("decimal(18,2)")), "probe")
     assert df.count() == 5 and shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_batch_stops_on_a_failed_check(spark, star, tmp_path):
+    with pytest.raises(QualityFailed, match="GMV reconciles to items"):
+        run_batch(star, str(tmp_path), expected_months=80)
+    assert (tmp_path / "quality_report" / "summary").exists() and not (tmp_path / "marts").exists()
+
+
+def test_batch_publishes_everything(spark, star, tmp_path):
+    counts = run_batch(star, str(tmp_path), strict=False)
+    assert counts.count() == 12
+    assert spark.read.json(str(tmp_path / "executive_kpis")).first()["orders"] == 1500
+    facts = spark.read.json(str(tmp_path / "executive_memo_facts")).first()
+    assert facts["decision"] == "do not launch the treatment yet" and facts["weakest_store_id"] is not None

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storelens.llm.bloom import sift
 from storelens.llm.components import components
 from storelens.llm.shared import only, write_once
 from storelens.llm.words import NOT_BLANK, U64, Words, constants, gram_hashes, mix, slices, text_bytes
@@ -227,11 +228,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
         "classes",
     )
     keys = classes.select("node", F.explode("bands").alias("band"))
-    hubs = keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("band", "hub")
-    near = keys.join(hubs, "band").where("node != hub").select("node", "hub").distinct()
+    hubs = write_once(
+        keys.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("band", "hub"), "hubs"
+    )
+    # Most buckets hold one class, most classes no near one: both are sifted out before they are shuffled.
+    near = sift(keys, F.col("band"), hubs, "band").join(hubs, "band").where("node != hub").select("node", "hub").distinct()
     clusters = components(near, "node", "hub").withColumnRenamed("root", "cluster")
-    blocks = _blocks(write_once(clusters.join(classes.select("node", "n_shingles"), "node"), "clusters"))
-    wanted = blocks.join(texts.withColumnRenamed("doc_id", "node"), "node").select("cluster", "x", "y", "node", "side", "text")
+    clusters = write_once(classes.select("node", "n_shingles").join(clusters, "node"), "clusters")
+    members = clusters.select(F.xxhash64("node").alias("hash"))
+    near_texts = sift(texts.where("doc_id is not null"), F.xxhash64("doc_id"), members, "hash").withColumnRenamed("doc_id", "node")
+    wanted = _blocks(clusters).join(near_texts, "node").select("cluster", "x", "y", "node", "side", "text")
     links = (
         wanted.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "node")
         .mapInArrow(_verify(percent), "a long, b long")

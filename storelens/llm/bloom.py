@@ -42,13 +42,20 @@ def in_bloom(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def sift(df: DataFrame, key: Column, values: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` whose ``key`` may be among the values of column ``name``; ``key`` and the
-    values are 64-bit hashes. No row that has a match is lost."""
+def parted(df: DataFrame, key: Column, values: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` is surely not among the values of column ``name``, and the rest.
+
+    ``key`` and the values are 64-bit hashes.
+    """
     shared = df.sparkSession.sparkContext.broadcast(bloom(values, name))
 
     @F.pandas_udf("boolean")
     def may_be(hashes: pd.Series) -> pd.Series:
         return pd.Series(in_bloom(shared.value, hashes.to_numpy(np.int64).view(U64)))
 
-    return df.where(may_be(key))
+    return df.where(~may_be(key)), df.where(may_be(key))
+
+
+def sift(df: DataFrame, key: Column, values: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be among the values; no row that has a match is lost."""
+    return parted(df, key, values, name)[1]

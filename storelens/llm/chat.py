@@ -71,8 +71,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``conv_id, turns, loss_texts`` out of ``format_conversations``: the turns as they were given, in
-    order, and the texts under the loss mask."""
+    """``conv_id, formatted, turns, loss_texts`` out of ``format_conversations``: the turns as they were
+    given, in order, and the texts under the loss mask."""
     # The last piece loses its end mark first, so that every mark left stands between two blocks.
     pieces = f"split(substring(formatted, 1, length(formatted) - {len(END)}), {_literal('<[|]end[|]>' + chr(92) + 'n')})"
     # The first line break that is not escaped ends the head.
@@ -80,6 +80,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
     rest = f"substring(p, length(regexp_extract(p, {_literal(r'(?s)\A### (?:[^\\\n]++|\\.)*+')}, 0)) + 2)"
     texts = f"transform(split({rest}, {_literal('<[|]part[|]>')}), x -> named_struct('role', {role}, 'text', {_unescape('x')}))"
     return formatted.select(
-        "conv_id", F.expr(f"flatten(transform({pieces}, p -> {texts}))").alias("turns"),
+        "conv_id", "formatted", F.expr(f"flatten(transform({pieces}, p -> {texts}))").alias("turns"),
         F.expr(f"transform(loss, s -> {_unescape('substring(formatted, s.start + 1, s.length)')})").alias("loss_texts"),
     )

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.bloom import sift
+from storelens.llm.bloom import parted, sift
 from storelens.llm.components import components
-from storelens.llm.shared import only, write_once
+from storelens.llm.shared import column, only, write_once
 from storelens.llm.words import NOT_BLANK, U64, Words, constants, gram_hashes, mix, slices, text_bytes
 
 SHINGLE = 5
@@ -250,3 +250,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), lone).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each component, all columns kept.
+
+    The document with the component's id stays; rows that share an id are one document, so of those one
+    stays as well. Rows without an id all stay. Only rows that may have to go are shuffled: a Bloom
+    filter of their ids sends the others straight on.
+    """
+    key = column(id_column).cast("long")
+    judged = write_once(near_duplicates(docs, percent, id_column, text_column).where("doc_id is not null"), "judged")
+    gone = judged.where("not kept").select("doc_id").distinct()
+    twice = judged.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    special = write_once(gone.withColumn("stays", F.lit(False)).unionByName(twice.withColumn("stays", F.lit(True))), "special")
+    passed, held = parted(docs, F.xxhash64(key), special.select(F.xxhash64("doc_id").alias("hash")), "hash")
+    marks = special.select(F.col("doc_id").alias("_id"), "stays")
+    marked = held.withColumn("_key", key).join(marks, F.col("_key") == F.col("_id"), "left")
+    alone = marked.where("_id is null")
+    first = marked.where("stays").dropDuplicates(["_key"])
+    return passed.unionByName(alone.unionByName(first).select(*[column(c) for c in docs.columns]))

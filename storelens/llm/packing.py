@@ -33,8 +33,8 @@ from storelens.llm.words import slices, text_bytes
 
 CAPACITY = 4096
 END_ID = 2
-# Costs in tokens of padding: a cut at a sentence's end, and one inside a sentence.
-SENTENCE_CUT, HARD_CUT = 1.0, 8.0
+# Costs in tokens of padding: a cut at a sentence's end, one inside a sentence, and each window.
+SENTENCE_CUT, HARD_CUT, WINDOW_COST = 0.5, 8.0, 4.0
 # Tokens that are cut together before the finished windows are handed on.
 STRETCH = 1 << 18
 # Words whose ids a task remembers, and their bytes.
@@ -143,7 +143,7 @@ def cut_windows(positions: np.ndarray, penalties: np.ndarray, capacity: int = CA
         for k in exact.get(j, ()):
             if best[k] < cost:
                 cost, i = best[k], k
-        cost += pen[j]
+        cost += pen[j] + WINDOW_COST
         best[j], came[j] = cost, i
         value = cost + here
         while queue and queue[-1][0] >= value:

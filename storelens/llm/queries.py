@@ -5,20 +5,88 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from storelens.llm import toxicity as tox
+from storelens.llm.chat import format_conversations, read_back
+from storelens.llm.decontam import contamination
 from storelens.llm.near_dup import near_duplicates
+from storelens.llm.oracle import ORACLE_SQL
+from storelens.llm.packing import pack
+from storelens.llm.pii import pseudonymise
+from storelens.llm.quality import judge
 from storelens.llm.shared import table
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Names the setting that holds the key of pseudonyms; a real run sets its own.
+SECRET_SETTING, SECRET = "spark.storelens.pii.secret", "change me"
+# A conversation that says the template's own signs.
+PROBE = "\\### Assistant: </turn> ok"
+
+
+def secret_of(spark: SparkSession) -> str:
+    return spark.conf.get(SECRET_SETTING, SECRET)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonymise(table(spark, folder, "documents"), secret_of(spark)).select("doc_id", "text", "n_found")
+
 
 def op3_near_dup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
+    )
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"), tokenizer_path())
+
+
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    formatted = format_conversations(turns)
+    again = read_back(formatted)
+    said = F.expr("array_join(transform(turns, t -> concat(t.role, '\\n', t.text, '\\n')), '')")
+    loss = F.array_join("loss_texts", "")
+    return again.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key")
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lexicon = tox.fit(docs, table(spark, folder, "labels"))
+    return tox.toxicity(docs.select("doc_id", "text"), lexicon).select(
+        "doc_id", tox.held_out_rows(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_pseudonyms": op2_pseudonyms,
     "op3_near_dup": op3_near_dup,
+    "op4_quality": op4_quality,
+    "op7_packing": op7_packing,
+    "op8_chat": op8_chat,
+    "op9_decontam": op9_decontam,
+    "op10_toxicity": op10_toxicity,
 }
-
-# DuckDB SQL for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}

@@ -30,6 +30,8 @@ from storelens.llm.shared import column, only, write_once
 MOST_ROWS = 4000
 # Terms that the first count hands on, and the lengths of word beginnings that it counts.
 CANDIDATES, LENGTHS = 3000, range(3, 9)
+# What a term must show: the logarithm of its odds ratio, and twice the logarithm of its likelihood ratio.
+LEAST_WEIGHT, LEAST_EVIDENCE = 2.0, 16.0
 # A task hands on its counts when it holds so many terms.
 HELD = 400_000
 
@@ -107,12 +109,14 @@ def held_out_rows(id_column: Column) -> Column:
     return F.crc32(id_column.cast("string")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
-    """``toxic, text`` of at most ``most_rows`` labelled rows of each label that may be learned from."""
-    rows = (
-        only(labels, ["doc_id", "toxic"]).where("doc_id is not null and toxic is not null")
-        .where(~held_out_rows(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    )
+def learnable(labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the labels that are not held out; of several for one id, the larger."""
+    rows = only(labels, ["doc_id", "toxic"]).where("doc_id is not null and toxic is not null")
+    return rows.where(~held_out_rows(F.col("doc_id"))).groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+
+
+def labelled_sample(docs: DataFrame, rows: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
+    """``toxic, text`` of at most ``most_rows`` labelled rows of each label."""
     chosen = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows) for y in (0, 1)]
     # The sample's bound, twice MOST_ROWS ids, is what allows the broadcast: no text is shuffled.
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))
@@ -177,8 +181,23 @@ def surprise(a, n, b, m) -> float:
     return 2 * (part(a, n, a / n) + part(b, m, b / m) - part(a, n, both) - part(b, m, both))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Bias and slope by Newton steps; both labels weigh alike, a small ridge keeps them finite."""
+def best_cut(x: np.ndarray, y: np.ndarray, clean_weight: float) -> float:
+    """The place between two values that misjudges least; of equal ones the widest gap's middle."""
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    missed = np.concatenate([[0.0], np.cumsum(y == 1)])
+    false = clean_weight * np.concatenate([np.cumsum((y == 0)[::-1])[::-1], [0.0]])
+    places = np.flatnonzero(np.diff(x) > 0)
+    if not len(places):
+        return float(x.max()) + 1.0
+    errors = missed[places + 1] + false[places + 1]
+    best = places[errors <= errors.min() + 1e-9]
+    widest = best[np.argmax(x[best + 1] - x[best])]
+    return float((x[widest] + x[widest + 1]) / 2)
+
+
+def _slope(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Logistic bias and slope by Newton steps; both labels weigh alike, a small ridge keeps them finite."""
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     design, beta = np.stack([np.ones_like(x), x], axis=1), np.zeros(2)
     for _ in range(50):
@@ -200,8 +219,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, exceptio
     text repeat has one context only. Of beginnings that extend each other the best one stays. No
     labels, or labels of one kind only, give an empty lexicon, which scores every text below a half.
     """
-    sample = write_once(labelled_sample(docs, labels, most_rows), "toxicity-sample")
-    totals = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    rows = learnable(labels)
+    sample = write_once(labelled_sample(docs, rows, most_rows), "toxicity-sample")
+    count = lambda df: {r["toxic"]: r["n"] for r in df.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    totals, labelled = count(sample), count(rows)
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     lexicon = Lexicon(exceptions=exceptions)
     if not pos or not neg:
@@ -210,24 +231,31 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, exceptio
     counted = sample.mapInArrow(_count_terms, "term string, toxic int, docs long").groupBy("term").agg(side(1).alias("a"), side(0).alias("b"))
     lift = F.log((F.col("a") + 0.5) / (pos + 1)) - F.log((F.col("b") + 0.5) / (neg + 1))
     # The size of the model is bounded: the terms that speak most for the label.
-    top = counted.where("a >= 3").withColumn("lift", lift).where("lift > 1.5").orderBy(F.desc(F.col("a") * F.col("lift")), "term").limit(CANDIDATES).collect()
-    if not top:
+    top = counted.where("a >= 3").withColumn("lift", lift).where("lift > 0.7").orderBy(F.desc(F.col("a") * F.col("lift")), "term").limit(CANDIDATES)
+    terms = [r["term"] for r in top.select("term").collect()]
+    if not terms:
         return lexicon
-    seen = sample.mapInArrow(_contexts([r["term"] for r in top]), "term string, toxic int, context string").distinct()
-    spread = {r["term"]: (r["a"], r["b"]) for r in seen.groupBy("term").agg(
-        F.count(F.when(F.col("toxic") == 1, 1)).alias("a"), F.count(F.when(F.col("toxic") == 0, 1)).alias("b")).collect()}
-    least = max(4, round(0.01 * pos))
-    ranked = []
-    for r in top:
-        a, b = spread.get(r["term"], (0, 0))
-        weight = math.log((a + 0.5) / (pos + 1)) - math.log((b + 0.5) / (neg + 1))
-        if a >= least and weight > 2:
-            ranked.append((surprise(r["a"], pos, r["b"], neg), len(r["term"]), r["term"], weight))
+    words = {r["toxic"]: r["n"] for r in sample.groupBy("toxic")
+             .agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).collect()}
+    seen = sample.mapInArrow(_contexts(terms), "term string, toxic int, context string").distinct()
+    spread = seen.groupBy("term").agg(
+        F.count(F.when(F.col("toxic") == 1, 1)).alias("a"), F.count(F.when(F.col("toxic") == 0, 1)).alias("b")).collect()
+    least, ranked = max(4, round(0.01 * pos)), []
+    for term, a, b in spread:
+        weight = math.log((a + 0.5) / words[1]) - math.log((b + 0.5) / words[0])
+        evidence = surprise(a, words[1], b, words[0])
+        if a >= least and weight > LEAST_WEIGHT and evidence > LEAST_EVIDENCE:
+            # Of terms of nearly the same evidence, the longer one is the more exact.
+            ranked.append((round(20 * math.log(evidence)), len(term), term, weight))
     for _, _, term, weight in sorted(ranked, reverse=True):
         if not any(term.startswith(t) or t.startswith(term) for t in lexicon.terms):
             lexicon.terms[term] = round(weight, 4)
     known = sample.select("toxic", strength_column(lexicon, F.col("text")).alias("x")).toPandas()
-    lexicon.bias, lexicon.slope = _logistic(known["x"].to_numpy(float), (known["toxic"] == 1).to_numpy(float))
+    x, y = known["x"].to_numpy(float), known["toxic"].to_numpy(int)
+    # The slope is the logistic's, the half is where the labels part with the fewest errors.
+    lexicon.slope = max(_slope(x, y)[1], 0.1)
+    share = (labelled[0] / neg) / (labelled[1] / pos)
+    lexicon.bias = -lexicon.slope * best_cut(x, y, share)
     return lexicon
 
 

@@ -606,6 +606,32 @@ select c.month, c.gmv as realized_gmv, p.gmv as realized_gmv_previous_month,
   cast(c.gmv - p.gmv as double) / cast(p.gmv as double) as gmv_mom_pct
 from monthly c left join monthly p on c.month = p.month + interval 1 month""",
     ),
+    "m_gmv_mom_filtered": (
+        "month realized_gmv:d realized_gmv_previous_month:d gmv_mom_pct:d",
+        """
+with monthly as (
+  select cast(date_trunc('month', order_ts) as date) as month, sum(gross_merchandise_value) filter (status <> 'Cancelled') as gmv
+  from fact_orders group by 1
+)
+select c.month, c.gmv as realized_gmv, p.gmv as realized_gmv_previous_month,
+  cast(c.gmv - p.gmv as double) / cast(p.gmv as double) as gmv_mom_pct
+from monthly c left join monthly p on c.month = p.month + interval 1 month where c.month = date '1996-03-01'""",
+    ),
+    "m_orders_in_quarter": (
+        "stores_city orders:i customers:i realized_gmv:d aov:d",
+        """
+select city as stores_city, count(distinct order_id) as orders, count(distinct o.customer_id) as customers,
+  sum(gross_merchandise_value) filter (status <> 'Cancelled') as realized_gmv,
+  cast(sum(gross_merchandise_value) filter (status <> 'Cancelled') as double) / nullif(count(distinct order_id) filter (status <> 'Cancelled'), 0) as aov
+from fact_orders o left join dim_stores using (store_id)
+where order_ts >= timestamp '1996-01-01' and order_ts < timestamp '1996-04-01'
+  and o.customer_id in (select customer_id from dim_customers where is_prime)
+group by city""",
+    ),
+    "order_economics_mart": (
+        "order_id order_date units:i item_revenue:d cogs:d net_revenue:d realized_cogs:d contribution_margin:d is_on_time",
+        "select order_id, order_date, units, item_revenue, cogs, net_revenue, realized_cogs, contribution_margin, is_on_time from econ",
+    ),
     "m_cogs_by_category": (
         "products_category line_cogs:d",
         """
@@ -709,53 +735,46 @@ from both_sides, bounds where action is not null""",
 
 
 def _quality_bodies() -> None:
-    """Check queries of the quality rules, written out per table from the published rule list."""
-    from storelens.sources.schemas import TABLES
+    """Check queries of the quality rules, from the list written out in ``oracle.rules``."""
+    from oracle import rules
 
-    counts, keys, references = [], [], []
-    for table, spec in TABLES.items():
-        rules = {f"{c}_not_null": f"{c} is null" for c in spec.not_null()}
-        rules |= {f"{c}_length": f"length(cast({c} as varchar)) > {n}" for c, n in spec.lengths.items()}
-        rules |= {name: f"not ({text})" for name, text in spec.rules.items()}
-        counts += [
-            f"select '{table}' as table_name, '{name}' as rule, count(*) filter ({bad}) as violations from {table}"
-            for name, bad in rules.items()
-        ]
-        key = ", ".join(spec.key)
-        keys.append(
-            f"select '{table}' as table_name, '{'+'.join(spec.key)}' as key, cast(coalesce(sum(n), 0) as bigint) as rows, "
-            f"count(*) filter (n > 1) as violations from (select count(*) as n from {table} group by {key})"
-        )
-        for column, (parent, parent_column) in spec.references.items():
-            optional = "" if column in spec.not_null() else f"c.{column} is not null and "
-            references.append(
-                f"select '{table}' as table_name, '{column}' as column_name, count(*) as violations from {table} c "
-                f"where {optional}not exists (select 1 from {parent} p where p.{parent_column} = c.{column})"
-            )
+    keys = [
+        f"select '{table}' as table_name, '{key.replace(', ', '+')}' as key, cast(coalesce(sum(n), 0) as bigint) as rows, "
+        f"count(*) filter (n > 1) as violations from (select count(*) as n from {table} group by {key})"
+        for table, key in rules.KEYS.items()
+    ]
+    references = [
+        f"select '{table}' as table_name, '{column}' as column_name, count(*) as violations from {table} c "
+        f"where {f'c.{column} is not null and ' if nullable else ''}not exists (select 1 from {parent} p where p.{rules.KEYS[parent]} = c.{column})"
+        for table, column, parent, nullable in rules.REFERENCES
+    ]
 
     def verdict(parts: list[str]) -> str:
         return "select *, violations = 0 as passed from (" + "\nunion all ".join(parts) + ")"
 
-    BODIES["dq_constraints"] = ("table_name rule violations:i passed", verdict(counts))
+    BODIES["dq_constraints"] = ("table_name rule violations:i passed", verdict(rules.violation_counts()))
     BODIES["dq_keys"] = ("table_name key rows:i violations:i passed", verdict(keys))
     BODIES["dq_references"] = ("table_name column_name violations:i passed", verdict(references))
 
+    BODIES["dq_types"] = ("table_name column_name declared present passed", "\nunion all ".join(rules.type_checks()))
+
     checks = []
-    for name in TABLES:
+    for name in rules.KEYS:
         checks.append(f"select '{name}: exists' as \"check\", true as passed, 'present' as detail")
         checks.append(f"select '{name}: required columns', true, 'missing='")
     for check, table in {
         "customer primary key": "dim_customers", "store primary key": "dim_stores", "product primary key": "dim_products",
         "order primary key": "fact_orders", "order-item primary key": "fact_order_items", "session primary key": "fact_sessions",
     }.items():
-        key = TABLES[table].key[0]
+        key = rules.KEYS[table]
         checks.append(f"select '{check}', count(*) = count(distinct {key}), 'rows=' || count(*) from {table}")
     for check, table, column in (
         ("order customer foreign key", "fact_orders", "customer_id"), ("order store foreign key", "fact_orders", "store_id"),
         ("item order foreign key", "fact_order_items", "order_id"), ("item product foreign key", "fact_order_items", "product_id"),
         ("session customer foreign key", "fact_sessions", "customer_id"),
     ):
-        parent, parent_column = TABLES[table].references[column]
+        parent = next(p for t, c, p, _ in rules.REFERENCES if (t, c) == (table, column))
+        parent_column = rules.KEYS[parent]
         checks.append(
             f"select '{check}', count(*) = 0, 'orphans=' || count(*) from {table} c "
             f"where not exists (select 1 from {parent} p where p.{parent_column} = c.{column})"
@@ -792,6 +811,16 @@ from fact_orders""",
         f"select {i} as position, * from ({text})" if i == 0 else f"select {i}, * from ({text})" for i, text in enumerate(checks)
     )
     BODIES["dq_report"] = ("position:i check passed detail", numbered)
+    BODIES["dq_summary"] = (
+        "checks:i passed:i failed:i all_passed",
+        f"select count(*) as checks, count(*) filter (passed) as passed, count(*) filter (not passed) as failed, bool_and(passed) as all_passed from ({numbered})",
+    )
+    BODIES["dq_violating_rows"] = (
+        "table_name rule rows:i",
+        "\nunion all ".join(f"select table_name, rule, violations as rows from ({part}) where violations > 0" for part in rules.violation_counts()),
+    )
 
 
 _quality_bodies()
+# The same question with the rank search made to narrow.
+BODIES["w1_customer_tiles_narrowed"] = BODIES["w1_customer_tiles"]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -67,10 +68,14 @@ def _slice_number(keys: list[Key], splits: list[Row]) -> Column:
 
 
 def _pick_splits(df: DataFrame, keys: list[Key], rows: int) -> list[Row]:
-    share = min(1.0, SAMPLED / rows)
-    seen = df.sample(fraction=share, seed=7).orderBy(*[k.order() for k in keys]).limit(4 * SAMPLED).collect()
+    """Evenly spaced rows of a sample of about ``SAMPLED`` rows; an empty sample is drawn again."""
+    share, seen = min(1.0, SAMPLED / rows), []
+    for seed in count(7):
+        seen = df.sample(fraction=share, seed=seed).orderBy(*[k.order() for k in keys]).collect()
+        if seen:
+            break
     step = max(1, len(seen) // (SPLITS + 1))
-    return seen[step::step][:SPLITS]
+    return seen[step - 1::step][:SPLITS]
 
 
 def keys_at_ranks(df: DataFrame, keys, ranks: list[int], rows: int, small: int | None = None) -> dict[int, Row]:
@@ -96,13 +101,13 @@ def keys_at_ranks(df: DataFrame, keys, ranks: list[int], rows: int, small: int |
         counts = {r["_slice"]: r["count"] for r in numbered.groupBy("_slice").count().collect()}
         start, ready = before, {}
         for number in range(len(splits) + 1):
-            count = counts.get(number, 0)
-            inside = [r for r in wanted if start < r <= start + count]
-            if inside and count <= small:
+            held = counts.get(number, 0)
+            inside = [r for r in wanted if start < r <= start + held]
+            if inside and held <= small:
                 ready[number] = (start, inside)
             elif inside:
-                pending.append((part.where(_within(keys, splits, number)), count, start, inside))
-            start += count
+                pending.append((part.where(_within(keys, splits, number)), held, start, inside))
+            start += held
         if ready:
             found |= _rows_within(numbered, keys, ready)
     return found
@@ -152,13 +157,10 @@ def tiles(df: DataFrame, keys, n: int, rows: int, method: str = "ntile", small:
     return reduce(lambda a, b: a + b, reached, F.lit(1))
 
 
-def percentiles(df: DataFrame, wanted: dict[str, float], unique: list[str], rows: int,
-                small: int | None = None) -> dict[str, float | None]:
-    """Interpolated percentile of each named column over its non-null values, exact at any size."""
-    names, limit = list(wanted), small or SMALL_SLICE
-    if rows <= limit:
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), wanted[c]).alias(c) for c in names]).first()
-        return row.asDict()
+def percentiles(df: DataFrame, wanted: dict[str, float], unique: list[str], small: int | None = None) -> dict[str, float | None]:
+    """Interpolated percentile of each named column over its non-null values, exact and by the same
+    narrowing at any size. ``df`` is read several times, so it should come from ``write_once``."""
+    names = list(wanted)
     known = df.agg(*[F.count(c).alias(c) for c in names]).first().asDict()
     answer: dict[str, float | None] = {}
     for name in names:
@@ -169,7 +171,7 @@ def percentiles(df: DataFrame, wanted: dict[str, float], unique: list[str], rows
         position = wanted[name] * (n - 1)
         low = int(position)
         high = min(low + 1, n - 1)
-        at = keys_at_ranks(df.where(F.col(name).isNotNull()), [name, *unique], [low + 1, high + 1], n, limit)
+        at = keys_at_ranks(df.where(F.col(name).isNotNull()), [name, *unique], [low + 1, high + 1], n, small)
         below, above = float(at[low + 1][name]), float(at[high + 1][name])
         share = position - low
         answer[name] = below if below == above else (1 - share) * below + share * above

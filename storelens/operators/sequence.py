@@ -6,49 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A key is heavy when it holds more than this share of all rows, so there are at most 10,000 heavy
-# keys whatever the size of the table; that is what bounds the broadcast below.
-HEAVY_SHARE = 1e-4
-# Below this many rows a key is never worth splitting.
-HEAVY_ROWS = 1_000_000
 
-
-def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE, least: int = HEAVY_ROWS) -> DataFrame:
-    """Keys with more than ``share`` of all rows and more than ``least`` rows: at most 1/share keys."""
-    total = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where((F.col("_rows") > least) & (F.col("_rows") > total * share) & F.col(key).isNotNull())
-        .select(key)
-    )
-
-
-def next_in_group(df: DataFrame, key: str, ts: str, unique: str, name: str,
-                  share: float = HEAVY_SHARE, least: int = HEAVY_ROWS, stretch_seconds: int = 3600) -> DataFrame:
+def next_in_group(df: DataFrame, key: str, ts: str, unique: str, name: str, bucket: str = "month") -> DataFrame:
     """Add column ``name``: the ``ts`` of the next row of the same ``key``, ordered by ``ts, unique``.
 
-    An ordinary key is one window group. A heavy key is cut into time stretches, each its own
-    group; the last row of a stretch takes the first time of the key's next stretch. The number of
-    stretches of a key is bounded by the calendar, not by its rows. With no heavy key the second
-    step finds nothing and AQE drops it.
+    Rows are grouped by key and calendar ``bucket``, so no group holds more than one bucket of one
+    key; a finer bucket makes groups smaller. Only the last row of each bucket has no next row in its
+    group: those rows, one per key and bucket, take the first time of the key's next bucket from a
+    second window. Every key goes the same way. Both halves read one exchange, so ``df`` is read once.
     """
-    heavy = F.broadcast(heavy_keys(df, key, share, least).withColumn("_heavy", F.lit(True)))
-    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
-    stretch = F.floor(epoch / stretch_seconds)
-    cut = df.join(heavy, key, "left").withColumn("_stretch", F.when(F.col("_heavy"), stretch).otherwise(F.lit(0)))
-    inside = Window.partitionBy(key, "_stretch").orderBy(ts, unique)
-    led = cut.withColumn("_next", F.lead(ts).over(inside))
-
-    firsts = (
-        df.select(key, ts)
-        .join(heavy, key, "inner")
-        .groupBy(key, stretch.alias("_stretch"))
-        .agg(F.min(ts).alias("_first"))
-    )
-    following = firsts.select(
-        key, "_stretch", F.lead("_first").over(Window.partitionBy(key).orderBy("_stretch")).alias("_across")
-    )
-    return led.join(following, [key, "_stretch"], "left").select(
-        *df.columns, F.coalesce(F.col("_next"), F.when(F.col("_heavy"), F.col("_across"))).alias(name)
-    )
+    cut = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts).cast("timestamp")))
+    group = Window.partitionBy(key, "_bucket")
+    led = cut.withColumn("_next", F.lead(ts).over(group.orderBy(ts, unique))).withColumn("_first", F.min(ts).over(group))
+    # A time is never null within a bucket, so a missing next row marks the last one; rows without a
+    # time share the null bucket and are told apart by their number.
+    led = led.withColumn("_last", F.lead(F.lit(True)).over(group.orderBy(ts, unique)).isNull())
+    across = F.lead("_first").over(Window.partitionBy(key).orderBy("_bucket"))
+    ended = led.where("_last").withColumn("_next", across)
+    return led.where(~F.col("_last")).unionByName(ended).select(*df.columns, F.col("_next").alias(name))

@@ -25,16 +25,18 @@ ROWS = "*"
 
 
 def q01_exec_snapshot(star: Star) -> DataFrame:
+    """Customers are counted apart from the sums, or every sum would travel once per customer."""
     margin, revenue = F.sum("contribution_margin"), F.sum("net_revenue")
-    return views.economics(star).agg(
+    priced = views.economics(star)
+    customers = priced.agg(F.count_distinct("customer_id")).scalar()
+    return priced.agg(
         F.count(ROWS).alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
         F.sum("gross_merchandise_value").alias("gmv"),
         revenue.alias("net_revenue"),
         margin.alias("contribution_margin"),
         rounded(ratio(margin, revenue), 4).alias("margin_rate"),
         rounded(rate(is_cancelled()), 4).alias("cancellation_rate"),
-    )
+    ).select("orders", customers.alias("customers"), "gmv", "net_revenue", "contribution_margin", "margin_rate", "cancellation_rate")
 
 
 def _store_money(star: Star) -> DataFrame:
@@ -97,7 +99,7 @@ def q04_category_profit(star: Star) -> DataFrame:
 
 def q05_weak_unit_economics(star: Star, top: int = 20, small: int | None = None) -> DataFrame:
     products = write_once(views.product_kpis(star), "product-kpis")
-    floor = percentiles(products, {"item_revenue": 0.75}, ["product_id"], products.count(), small)["item_revenue"]
+    floor = percentiles(products, {"item_revenue": 0.75}, ["product_id"], small)["item_revenue"]
     return (
         products.where(F.col("item_revenue").cast("double") >= F.lit(floor).cast("double"))
         .withColumn("gross_margin_rate", rounded(ratio(F.col("gross_profit"), F.col("item_revenue")), 4))
@@ -205,6 +207,7 @@ def q09_discount_bands(star: Star) -> DataFrame:
     )
 
 
+# Hours of dense traffic, discount bands in q09 and segment cuts in q08.
 RUSH_HOURS = (8, 9, 18, 19, 20, 21)
 
 
@@ -331,20 +334,17 @@ def q16_margin_to_cac(star: Star) -> DataFrame:
 
 
 def q17_availability_loss(star: Star, top: int = 30) -> DataFrame:
-    """The declared references make every pair match its dimensions, so the cut comes first and
-    only its rows are joined."""
-    order = [F.desc_nulls_last("stockout_minutes"), "store_id", "product_id"]
-    worst = (
-        star.inventory.groupBy("store_id", "product_id")
-        .agg(F.sum("stockout_minutes").alias("stockout_minutes"), F.sum("units_sold").alias("units_sold"))
-        .orderBy(*order)
-        .limit(top)
+    """Pairs of store and product by stockout. Inventory folds per pair first; pairs without a store
+    or product fall out before the cut, so they take no place in it."""
+    pairs = star.inventory.groupBy("store_id", "product_id").agg(
+        F.sum("stockout_minutes").alias("stockout_minutes"), F.sum("units_sold").alias("units_sold")
     )
     return (
-        worst.join(star.stores.select("store_id", "city", "zone"), "store_id")
+        pairs.join(star.stores.select("store_id", "city", "zone"), "store_id")
         .join(star.products.select("product_id", "category"), "product_id")
         .select("store_id", "city", "zone", "product_id", "category", "stockout_minutes", "units_sold")
-        .orderBy(*order)
+        .orderBy(F.desc_nulls_last("stockout_minutes"), "store_id", "product_id")
+        .limit(top)
     )
 
 
@@ -433,36 +433,32 @@ def q23_margin_concentration(star: Star, small: int | None = None) -> DataFrame:
     return grouped.withColumn("margin_share", rounded(ratio(F.col("contribution_margin"), total), 4)).orderBy("value_quintile")
 
 
-# Pieces into which the lines of one order are spread when they meet their order.
-PIECES = 16
-
-
 def q24_category_refunds(star: Star) -> DataFrame:
     """Refunded value by category, each refund shared out by line value.
 
-    Only lines of refunded orders need their order, so the join is inner and Spark may filter the
-    lines by the refunded ids before they move. Refunded orders are few: each is repeated once per
-    piece and an order's lines spread over the pieces by product, so that no order, however many
-    lines it holds, ends in one task. Categories without refunds come from the products sold.
+    Lines of refunded orders are kept by a semi join, whose line side AQE may split, and fold to one
+    row per order and product before they meet the order: the catalogue bounds what one order then
+    holds. Categories without refunds come from the products of lines that have an order.
     """
     refunded = star.orders.where(F.col("status") == "Refunded").select(
         "order_id",
         F.col("refund_amount").cast("double").alias("refund"),
         F.col("gross_merchandise_value").cast("double").alias("value"),
-        F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))).alias("piece"),
     )
     category = star.products.select("product_id", "category")
-    line_value = (F.col("quantity") * cents("unit_selling_price")) / F.lit(100.0)
+    line_cents = F.sum(F.col("quantity").cast("bigint") * cents("unit_selling_price"))
     shared = (
-        star.order_items.withColumn("piece", F.pmod(F.xxhash64("product_id"), F.lit(PIECES)).cast("int"))
-        .join(refunded, ["order_id", "piece"])
-        .groupBy("product_id", "order_id")
-        .agg(F.sum(F.col("refund") * line_value / F.nullif(F.col("value"), F.lit(0.0))).alias("allocated"))
+        star.order_items.join(refunded.select("order_id"), "order_id", "left_semi")
+        .groupBy("order_id", "product_id")
+        .agg((line_cents / F.lit(100.0)).alias("line_value"))
+        .join(refunded, "order_id")
+        .withColumn("allocated", F.col("refund") * F.col("line_value") / F.nullif(F.col("value"), F.lit(0.0)))
         .join(category, "product_id")
         .groupBy("category")
         .agg(F.count_distinct("order_id").alias("refunded_orders"), F.sum("allocated").alias("allocated"))
     )
-    sold = star.order_items.select("product_id").distinct().join(category, "product_id").select("category").distinct()
+    placed = star.order_items.select("order_id", "product_id").join(star.orders.select("order_id"), "order_id", "left_semi")
+    sold = placed.select("product_id").distinct().join(category, "product_id").select("category").distinct()
     return (
         sold.join(shared, "category", "left")
         .select(
@@ -488,7 +484,7 @@ def q25_store_week_exceptions(star: Star, small: int | None = None) -> DataFrame
     )
     bound = percentiles(
         weeks, {"cancellation_rate": 0.75, "late_rate": 0.75, "contribution_margin": 0.25},
-        ["week_start", "store_id"], weeks.count(), small,
+        ["week_start", "store_id"], small,
     )
     limit = {name: F.lit(value).cast("double") for name, value in bound.items()}
     flagged = (

@@ -47,15 +47,18 @@ def _money_columns() -> dict[str, Column]:
 
 
 def store_kpis(star: Star) -> DataFrame:
-    per_store = views.economics(star).groupBy("store_id").agg(
-        F.count(ROWS).alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        *_named(_money_columns()),
-        *_named(_service_columns()),
+    """Customers per store are counted apart, from pairs of ids: beside the sums, every sum would
+    travel once per pair."""
+    priced = views.economics(star)
+    sums = priced.groupBy("store_id").agg(
+        F.count(ROWS).alias("orders"), *_named(_money_columns()), *_named(_service_columns()),
         rate(is_cancelled()).alias("cancellation_rate"),
     )
-    return per_store.join(star.stores.select("store_id", "city", "zone"), "store_id").withColumn(
-        "margin_rate", ratio(F.col("contribution_margin"), F.col("net_revenue"))
+    customers = priced.select("store_id", "customer_id").distinct().groupBy("store_id").agg(F.count("customer_id").alias("customers"))
+    return (
+        sums.join(customers, "store_id").join(star.stores.select("store_id", "city", "zone"), "store_id")
+        .select("store_id", "orders", "customers", *[c for c in sums.columns if c not in ("store_id", "orders")], "city", "zone")
+        .withColumn("margin_rate", ratio(F.col("contribution_margin"), F.col("net_revenue")))
     )
 
 

@@ -4,12 +4,17 @@ A measure belongs to one fact. ``measure`` folds the fact to one row per key of
 the grouping or a filter names, joins those dimensions to the folded rows, and derives ratios from
 the sums: no dimension ever meets the raw fact, however many rows one store or product holds.
 Dimensions filter facts one way, so a dimension that is not related to a measure's fact is an error
-rather than a repeated total. Order and session ids are primary keys, so counting them distinctly is
-counting rows.
+rather than a repeated total. Counts of orders and sessions count distinct ids, so a repeated row
+counts once; they travel apart from the sums, as one row per group and id.
+
+Filters map a field to a value, a list of values or a ``Between``. They reach the fact before
+anything is joined or folded: date fields also as bounds of its time column, fields of a dimension as
+a semi join with that dimension's chosen keys.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -31,14 +36,27 @@ RELATED: dict[str, dict[str, str]] = {
 }
 
 
+# The time column of each fact that has one, and whether it is a day.
+TIMES = {"orders": ("order_ts", False), "order_items": ("order_ts", False), "inventory": ("inventory_date", True)}
+
+
+@dataclass(frozen=True)
+class Between:
+    """A filter on a range, both ends included; an end of None is open."""
+
+    low: object = None
+    high: object = None
+
+
 @dataclass(frozen=True)
 class Base:
     """An aggregate over the rows of one fact. Partial results add up, unless ``distinct`` names the
-    column whose different values are counted."""
+    column whose different values are counted, over the rows where ``only`` holds."""
 
     fact: str
-    build: Callable[[], Column]
+    build: Callable[[], Column] | None = None
     distinct: str | None = None
+    only: Callable[[], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -62,11 +80,11 @@ def _on_time() -> Column:
 
 
 MEASURES: dict[str, Base | Derived] = {
-    "orders": Base("orders", lambda: F.count("order_id")),
-    "delivered_orders": Base("orders", lambda: F.count_if(F.col("status") == "Delivered")),
-    "cancelled_orders": Base("orders", lambda: F.count_if(is_cancelled())),
-    "kept_orders": Base("orders", lambda: F.count_if(not_cancelled())),
-    "customers": Base("orders", lambda: F.count_distinct("customer_id"), distinct="customer_id"),
+    "orders": Base("orders", distinct="order_id"),
+    "delivered_orders": Base("orders", distinct="order_id", only=lambda: F.col("status") == "Delivered"),
+    "cancelled_orders": Base("orders", distinct="order_id", only=is_cancelled),
+    "kept_orders": Base("orders", distinct="order_id", only=not_cancelled),
+    "customers": Base("orders", distinct="customer_id"),
     "placed_gmv": Base("orders", _sum_where("gross_merchandise_value")),
     "realized_gmv": Base("orders", _sum_where("gross_merchandise_value", not_cancelled)),
     "net_revenue": Base("orders", _sum_where("net_revenue")),
@@ -79,15 +97,15 @@ MEASURES: dict[str, Base | Derived] = {
     "contribution_margin_pct": _divide("contribution_margin", "net_revenue"),
     "aov": _divide("realized_gmv", "kept_orders"),
     "cancellation_rate": _divide("cancelled_orders", "orders"),
-    "on_time_orders": Base("orders", lambda: F.count_if(_on_time())),
+    "on_time_orders": Base("orders", distinct="order_id", only=_on_time),
     "on_time_rate": _divide("on_time_orders", "kept_orders"),
     "delivery_minutes": Base("orders", _sum_where("delivery_minutes", not_cancelled)),
     "timed_orders": Base("orders", lambda: F.count(F.when(not_cancelled(), F.col("delivery_minutes")))),
     "average_delivery_minutes": _divide("delivery_minutes", "timed_orders"),
-    "sessions": Base("sessions", lambda: F.count("session_id")),
-    "conversions": Base("sessions", lambda: F.count_if("converted")),
+    "sessions": Base("sessions", distinct="session_id"),
+    "conversions": Base("sessions", distinct="session_id", only=lambda: F.col("converted")),
     "conversion_rate": _divide("conversions", "sessions"),
-    "carts": Base("sessions", lambda: F.count_if("added_to_cart")),
+    "carts": Base("sessions", distinct="session_id", only=lambda: F.col("added_to_cart")),
     "add_to_cart_rate": _divide("carts", "sessions"),
     "units_sold": Base("inventory", _sum_where("units_sold")),
     "waste_units": Base("inventory", _sum_where("waste_units")),
@@ -105,15 +123,31 @@ MEASURES: dict[str, Base | Derived] = {
 }
 
 
-def _facts(star: Star, name: str) -> DataFrame:
+def _facts(star: Star, name: str, where: dict, shift: int = 0) -> DataFrame:
+    """The rows of a fact under the filters. With ``shift``, date filters see days that many months later.
+
+    Keys and times are narrowed before orders meet their lines, the other filters follow.
+    """
+    def narrow(rows: DataFrame) -> DataFrame:
+        return _narrowed(star, name, rows, where, shift)
+
     if name == "orders":
-        return views.with_economics(star.orders_with_totals).withColumn("order_date", F.to_date("order_ts"))
-    if name == "order_items":
-        head = star.orders.select("order_id", "customer_id", "store_id", "status", F.to_date("order_ts").alias("order_date"))
-        return star.order_items.join(head, "order_id")
-    if name == "sessions":
-        return star.sessions
-    return star.inventory
+        rows = views.with_economics(star.narrowed_orders_with_totals(narrow)).withColumn("order_date", F.to_date("order_ts"))
+    elif name == "order_items":
+        head = narrow(star.orders).select("order_id", "customer_id", "store_id", "status", "order_ts", F.to_date("order_ts").alias("order_date"))
+        rows = star.order_items.join(head, "order_id")
+    else:
+        rows = narrow(getattr(star, name))
+    for field, wanted in where.items():
+        dim, _, column = field.rpartition(".")
+        if not dim:
+            rows = rows.where(_matches(F.col(field), wanted))
+        elif dim == "date":
+            day = F.add_months(RELATED[name][dim], shift) if shift else F.col(RELATED[name][dim])
+            rows = rows.where(_matches((calendar_columns(day) | {"date": day})[column], wanted))
+        elif dim == "products" and name == "order_items":
+            rows = _of_dimension(star, rows, dim, RELATED[name][dim], column, wanted)
+    return rows
 
 
 def _needed(names: list[str]) -> list[str]:
@@ -132,20 +166,71 @@ def column_name(field: str) -> str:
     return field.replace(".", "_")
 
 
+def _matches(value: Column, wanted) -> Column:
+    if isinstance(wanted, Between):
+        ends = [value >= F.lit(wanted.low)] * (wanted.low is not None) + [value <= F.lit(wanted.high)] * (wanted.high is not None)
+        return reduce(lambda a, b: a & b, ends, value.isNotNull())
+    return value.isin(*wanted) if isinstance(wanted, (list, tuple, set)) else value == F.lit(wanted)
+
+
+def _days_of(column: str, wanted) -> tuple[dt.date | None, dt.date | None]:
+    """First and last day that a filter on a calendar column can let through; None is open."""
+    def span(value) -> tuple[dt.date, dt.date]:
+        text = str(value)
+        if column == "date":
+            day = dt.date.fromisoformat(text[:10])
+            return day, day
+        first = dt.date(int(text[:4]), int(text[5:7]) if column == "year_month" else 1, 1)
+        last = dt.date(first.year + (column == "year" or first.month == 12), 1 if column == "year" else first.month % 12 + 1, 1)
+        return first, last - dt.timedelta(days=1)
+
+    if column not in ("date", "year_month", "year"):
+        return None, None
+    if isinstance(wanted, Between):
+        return (span(wanted.low)[0] if wanted.low is not None else None), (span(wanted.high)[1] if wanted.high is not None else None)
+    spans = [span(v) for v in (wanted if isinstance(wanted, (list, tuple, set)) else [wanted])]
+    return min((s[0] for s in spans), default=None), max((s[1] for s in spans), default=None)
+
+
+def _of_dimension(star: Star, rows: DataFrame, dim: str, key: str, column: str, wanted) -> DataFrame:
+    chosen = getattr(star, dim).where(_matches(F.col(column), wanted)).select(key)
+    return rows.join(chosen, key, "left_semi")
+
+
+def _narrowed(star: Star, fact: str, rows: DataFrame, where: dict, shift: int) -> DataFrame:
+    """Rows within the bounds of date filters and with keys that dimension filters choose."""
+    for field, wanted in where.items():
+        dim, _, column = field.rpartition(".")
+        if dim and dim not in RELATED[fact]:
+            raise ValueError(f"{dim} is not related to {fact}")
+        if dim == "date":
+            name, daily = TIMES[fact]
+            low, high = _days_of(column, wanted)
+            # Plain bounds of the stored column, which reach the scan; a month has 28 to 31 days.
+            kind, at = ("date", lambda day: day) if daily else ("timestamp_ntz", lambda day: dt.datetime.combine(day, dt.time()))
+            if low:
+                rows = rows.where(F.col(name) >= F.lit(at(low - dt.timedelta(days=34 * shift))).cast(kind))
+            if high:
+                rows = rows.where(F.col(name) < F.lit(at(high - dt.timedelta(days=27 * shift - 1))).cast(kind))
+        elif dim and not (dim == "products" and fact == "order_items"):
+            rows = _of_dimension(star, rows, dim, RELATED[fact][dim], column, wanted)
+    return rows
+
+
 @dataclass(frozen=True)
 class Context:
-    """Grouping and filters of one fact: columns of the fact itself, and columns of dimensions."""
+    """Grouping of one fact: columns of the fact itself, and columns of dimensions."""
 
     own: dict[str, Column]
     keys: dict[str, str]
     dims: dict[str, list[str]]
 
     @staticmethod
-    def of(fact: str, by: list[str], where: dict) -> "Context":
+    def of(fact: str, by: list[str]) -> "Context":
         own: dict[str, Column] = {}
         keys: dict[str, str] = {}
         dims: dict[str, list[str]] = {}
-        for field in dict.fromkeys([*by, *where]):
+        for field in dict.fromkeys(by):
             dim, _, column = field.rpartition(".")
             if not dim:
                 own[field] = F.col(field)
@@ -163,34 +248,37 @@ class Context:
         """What the fact is folded by: its own fields and the keys of the dimensions."""
         return [c.alias(n) for n, c in self.own.items()] + [F.col(k).alias(f"_{d}") for d, k in self.keys.items()]
 
-    def attach(self, star: Star, folded: DataFrame, where: dict) -> DataFrame:
-        """Dimension columns on the folded rows, then the filters. The outer join keeps rows whose
-        key has no match, under null."""
+    def attach(self, star: Star, folded: DataFrame) -> DataFrame:
+        """Dimension columns on the folded rows. The outer join keeps rows whose key has no match, under null."""
         for dim, columns in self.dims.items():
             side = getattr(star, dim).select(
                 F.col(self.keys[dim]).alias(f"_{dim}"), *[F.col(c).alias(f"{dim}_{c}") for c in columns]
             )
             folded = folded.join(side, f"_{dim}", "left")
-        for field, values in where.items():
-            values = values if isinstance(values, (list, tuple, set)) else [values]
-            folded = folded.where(F.col(column_name(field)).isin(*values))
         return folded
 
 
 def _sums(star: Star, fact: str, bases: list[str], by: list[str], where: dict) -> DataFrame:
     """Additive base measures of one fact per group."""
-    context = Context.of(fact, by, where)
-    folded = _facts(star, fact).groupBy(*context.fold_keys()).agg(*[MEASURES[b].build().alias(b) for b in bases])
-    return context.attach(star, folded, where).groupBy(*[column_name(f) for f in by]).agg(*[F.sum(b).alias(b) for b in bases])
+    context = Context.of(fact, by)
+    rows = _facts(star, fact, where)
+    folded = rows.groupBy(*context.fold_keys()).agg(*[MEASURES[b].build().alias(b) for b in bases])
+    return context.attach(star, folded).groupBy(*[column_name(f) for f in by]).agg(*[F.sum(b).alias(b) for b in bases])
 
 
-def _distinct(star: Star, base: str, by: list[str], where: dict) -> DataFrame:
-    """One distinct count per group, from the narrow set of (group, value) pairs. Counted apart from
-    the sums, or every sum would travel once per pair."""
-    entry = MEASURES[base]
-    context = Context.of(entry.fact, by, where)
-    pairs = _facts(star, entry.fact).select(*context.fold_keys(), entry.distinct).distinct()
-    return context.attach(star, pairs, where).groupBy(*[column_name(f) for f in by]).agg(entry.build().alias(base))
+def _distinct(star: Star, fact: str, column: str, bases: list[str], by: list[str], where: dict) -> DataFrame:
+    """Distinct counts of one column per group, from one row per group and value with a flag per measure.
+
+    Counted apart from the sums, or every sum would travel once per value.
+    """
+    context, keys = Context.of(fact, by), [column_name(f) for f in by]
+    rows = _facts(star, fact, where)
+    holds = [F.coalesce(MEASURES[b].only() if MEASURES[b].only else F.lit(True), F.lit(False)).alias(b) for b in bases]
+    values = rows.where(F.col(column).isNotNull()).select(*context.fold_keys(), F.col(column).alias("_value"), *holds)
+    folded = values.groupBy(*[n for n in values.columns if n not in bases]).agg(*[F.bool_or(b).alias(b) for b in bases])
+    if context.dims:
+        folded = context.attach(star, folded).groupBy(*keys, "_value").agg(*[F.bool_or(b).alias(b) for b in bases])
+    return folded.groupBy(*keys).agg(*[F.count_if(b).alias(b) for b in bases])
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -217,7 +305,10 @@ def measure(star: Star, names: list[str] | str, by: list[str] | None = None, whe
         additive = [b for b in bases if MEASURES[b].fact == fact and not MEASURES[b].distinct]
         if additive:
             parts.append(_sums(star, fact, additive, by, where or {}))
-    parts += [_distinct(star, b, by, where or {}) for b in bases if MEASURES[b].distinct]
+        counted = [b for b in bases if MEASURES[b].fact == fact and MEASURES[b].distinct]
+        for value in dict.fromkeys(MEASURES[b].distinct for b in counted):
+            same = [b for b in counted if MEASURES[b].distinct == value]
+            parts.append(_distinct(star, fact, value, same, by, where or {}))
     result = reduce(lambda a, b: _join_on(a, b, keys), parts)
 
     def derive(df: DataFrame, name: str) -> DataFrame:
@@ -240,11 +331,11 @@ def repeat_customers(star: Star, by: list[str] | None = None, where: dict | None
     """
     by, where = by or [], where or {}
     keys = [column_name(f) for f in by]
-    context = Context.of("orders", by, where)
-    folded = _facts(star, "orders").groupBy(*context.fold_keys(), "customer_id").agg(
+    context = Context.of("orders", by)
+    folded = _facts(star, "orders", where).groupBy(*context.fold_keys(), "customer_id").agg(
         F.min("order_id").alias("low"), F.max("order_id").alias("high")
     )
-    per_customer = context.attach(star, folded, where).groupBy(*keys, "customer_id").agg(
+    per_customer = context.attach(star, folded).groupBy(*keys, "customer_id").agg(
         (F.min("low") != F.max("high")).alias("repeated")
     )
     return (
@@ -255,20 +346,24 @@ def repeat_customers(star: Star, by: list[str] | None = None, where: dict | None
 
 
 def gmv_month_over_month(star: Star, by: list[str] | None = None, where: dict | None = None) -> DataFrame:
-    """Realised GMV per month beside that of the calendar month before; a missing month gives null."""
+    """Realised GMV per month beside that of the calendar month before; a missing month gives null.
+
+    A date filter chooses the current days; the month before is seen through the same filter moved
+    back by a month, so that it does not filter itself away. Other filters hold for both.
+    """
     by, where = by or [], where or {}
     keys = [column_name(f) for f in by]
-    context = Context.of("orders", by, where)
-    folded = (
-        _facts(star, "orders")
-        .groupBy(*context.fold_keys(), F.trunc("order_date", "month").alias("month"))
-        .agg(MEASURES["realized_gmv"].build().alias("realized_gmv"))
-    )
-    monthly = context.attach(star, folded, where).groupBy(*keys, "month").agg(F.sum("realized_gmv").alias("realized_gmv"))
-    before = monthly.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.add_months("month", 1).alias("_month"),
-        F.col("realized_gmv").alias("realized_gmv_previous_month"),
+    context = Context.of("orders", by)
+
+    def monthly(shift: int) -> DataFrame:
+        rows = _facts(star, "orders", where, shift)
+        month = F.trunc(F.add_months("order_date", shift), "month").alias("month")
+        folded = rows.groupBy(*context.fold_keys(), month).agg(MEASURES["realized_gmv"].build().alias("gmv"))
+        return context.attach(star, folded).groupBy(*keys, "month").agg(F.sum("gmv").alias("gmv"))
+
+    now, before = monthly(0).withColumnRenamed("gmv", "realized_gmv"), monthly(1)
+    before = before.select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("month").alias("_month"), F.col("gmv").alias("realized_gmv_previous_month")
     )
     match = reduce(
         lambda a, b: a & b,
@@ -277,7 +372,7 @@ def gmv_month_over_month(star: Star, by: list[str] | None = None, where: dict |
     )
     current, previous = F.col("realized_gmv"), F.col("realized_gmv_previous_month")
     return (
-        monthly.join(before, match, "left")
+        now.join(before, match, "left")
         .select(*keys, "month", "realized_gmv", "realized_gmv_previous_month")
         .withColumn("gmv_mom_pct", ratio(current - previous, previous))
     )

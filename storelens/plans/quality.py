@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import month_start, ratio
-from storelens.sources.schemas import TABLES
+from storelens.sources.schemas import TABLES, compatible
 from storelens.sources.star import Star, order_totals
 
 REPORT = "position int, check string, passed boolean, detail string"
-# Key and reference checks of the report, by table and column.
+# Key and reference checks of the report, by table and column; the other check names
+# below, in CHECK_ORDER and in the verdicts, are fixed as well.
 REPORT_KEYS = {
     "customer primary key": "dim_customers", "store primary key": "dim_stores", "product primary key": "dim_products",
     "order primary key": "fact_orders", "order-item primary key": "fact_order_items", "session primary key": "fact_sessions",
@@ -148,20 +149,43 @@ def status_counts(star: Star) -> DataFrame:
 # --- the report ------------------------------------------------------------------------------
 
 
+def wrong_types(df: DataFrame, table: str) -> list[tuple[str, str, str]]:
+    """Columns whose type can't stand for the declared one: name, declared and found type."""
+    found = {f.name: f.dataType for f in df.schema}
+    return [
+        (f.name, f.dataType.simpleString(), found[f.name].simpleString())
+        for f in TABLES[table].schema() if f.name in found and not compatible(f.dataType, found[f.name])
+    ]
+
+
+def type_checks(star: Star) -> DataFrame:
+    """Declared columns of all tables: whether each is there and of a type that can stand for the declared one."""
+    rows = []
+    for table, spec in TABLES.items():
+        df = star.table(table)
+        found = {f.name: f.dataType for f in df.schema}
+        wrong = {name for name, _, _ in wrong_types(df, table)}
+        rows += [(table, f.name, f.dataType.simpleString(), f.name in found, f.name in found and f.name not in wrong) for f in spec.schema()]
+    return star.spark.createDataFrame(rows, "table_name string, column_name string, declared string, present boolean, passed boolean")
+
+
 def _table_checks(star: Star) -> tuple[list[tuple], bool]:
-    """Existence and required columns of every table, from the catalog or file headers alone."""
+    """Existence, required columns and declared types of every table, from the catalog or file headers alone."""
     found, complete = [], True
     for name, spec in TABLES.items():
         try:
-            columns = set(star.table(name).columns)
+            df = star.table(name)
+            columns = set(df.columns)
         except (AnalysisException, KeyError):
             found.append((f"{name}: exists", False, "missing"))
             complete = False
             continue
         found.append((f"{name}: exists", True, "present"))
         missing = sorted(set(spec.required) - columns)
-        found.append((f"{name}: required columns", not missing, "missing=" + ",".join(missing)))
-        complete = complete and not missing
+        wrong = wrong_types(df, name)
+        detail = "missing=" + ",".join(missing) + "".join(f";{column}={kind} instead of {declared}" for column, declared, kind in wrong)
+        found.append((f"{name}: required columns", not missing and not wrong, detail))
+        complete = complete and not missing and not wrong
     return found, complete
 
 

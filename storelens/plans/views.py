@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import MONEY, average, cents, is_cancelled, money, not_cancelled, rate
-from storelens.operators.sequence import HEAVY_ROWS, HEAVY_SHARE, next_in_group
+from storelens.operators.sequence import next_in_group
 from storelens.sources.star import Star
 
 
-
 def with_economics(orders: DataFrame) -> DataFrame:
     """Net revenue, realised cost, contribution margin and on-time flag for orders with totals.
 
@@ -42,13 +41,13 @@ def order_economics_mart(star: Star) -> DataFrame:
     return economics(star).withColumn("order_date", F.to_date("order_ts"))
 
 
-def order_sequence(star: Star, extra: tuple[str, ...] = (), share: float = HEAVY_SHARE, least: int = HEAVY_ROWS) -> DataFrame:
+def order_sequence(star: Star, extra: tuple[str, ...] = (), bucket: str = "month") -> DataFrame:
     """Each order with the customer's next order time and whether it fell within 30 days.
 
     Cancelled orders count on both ends; orders at the same time follow their id.
     """
     columns = ["customer_id", "order_id", "order_ts", "delivery_minutes", "status", *extra]
-    led = next_in_group(star.orders.select(*columns), "customer_id", "order_ts", "order_id", "next_order_ts", share, least)
+    led = next_in_group(star.orders.select(*columns), "customer_id", "order_ts", "order_id", "next_order_ts", bucket)
     return led.withColumn(
         "repeated_within_30d",
         F.coalesce(F.col("next_order_ts") <= F.col("order_ts") + F.expr("interval '30' day"), F.lit(False)),

@@ -146,7 +146,10 @@ class MappedStar(Star):
 
     @cached_property
     def orders_with_totals(self) -> DataFrame:
-        joined = self._base.join(self._totals, "order_id", "left").join(self._first_orders, "order_id", "left")
+        return self.narrowed_orders_with_totals(lambda orders: orders)
+
+    def narrowed_orders_with_totals(self, narrow) -> DataFrame:
+        joined = narrow(self._base).join(self._totals, "order_id", "left").join(self._first_orders, "order_id", "left")
         return joined.selectExpr(
             "order_id",
             "customer_id",

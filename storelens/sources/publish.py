@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from storelens.plans import marts, quality, views
 from storelens.session import write_once
 from storelens.sources.schemas import TABLES
-from storelens.sources.star import Star, TableStar
+from storelens.sources.star import Star, TableStar, require_unique
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "order_economics": views.order_economics_mart,
@@ -32,13 +32,15 @@ DATED = {"order_economics": "order_date", "daily_store_kpis": "order_date"}
 BUCKETED = {"fact_orders": "order_id", "fact_order_items": "order_id"}
 
 
-class _PricedStar(Star):
+class PricedStar(Star):
     """A star whose priced orders were written once, for a run that reads them many times."""
 
     def __init__(self, inner: Star):
         super().__init__(inner.spark)
         self.inner = inner
         self.priced = write_once(inner.orders_with_totals, "priced-orders")
+        # The merge of orders with their totals must be one to one.
+        require_unique(self.priced.select("order_id"), ["order_id"], "fact_orders")
 
     def open(self, name: str) -> DataFrame:
         if name == "fact_orders":
@@ -49,12 +51,11 @@ class _PricedStar(Star):
     def orders_with_totals(self) -> DataFrame:
         return self.priced
 
+    def narrowed_orders_with_totals(self, narrow) -> DataFrame:
+        return narrow(self.priced)
+
 
 def _write(df: DataFrame, path: str, form: str, date: str | None = None) -> None:
-    """Write one mart; by date, rows are first balanced so that a day fills few files and a heavy
-    day is split over several."""
-    if date:
-        df = df.hint("rebalance", F.col(date))
     writer = df.write.mode("overwrite").format(form).option("header", "true")
     (writer.partitionBy(date) if date else writer).save(path)
 
@@ -69,13 +70,16 @@ def publish_marts(star: Star, folder: str, form: str = "parquet", by_date: bool
     Counts are taken by the writing job itself, so no mart is computed twice. Returns mart,
     rows_written, rows_read.
     """
-    spark, priced, done = star.spark, _PricedStar(star), []
+    spark, priced, done = star.spark, star if isinstance(star, PricedStar) else PricedStar(star), []
     for name, build in MARTS.items():
         path = f"{folder.rstrip('/')}/{name}"
-        frame = build(priced)
+        frame, date = build(priced), DATED.get(name) if by_date else None
+        if date:
+            # A day fills few files, a heavy day several. Counting stands behind this exchange, in the
+            # writing stage itself, so a map stage that runs again counts nothing twice.
+            frame = frame.hint("rebalance", F.col(date))
         watch = Observation(f"rows of {name}")
-        counted = frame.observe(watch, F.count(F.lit(1)).alias("n"))
-        _write(counted, path, form, DATED.get(name) if by_date else None)
+        _write(frame.observe(watch, F.count(F.lit(1)).alias("n")), path, form, date)
         written, read = watch.get["n"], _read(spark, path, form).count()
         if written != read:
             raise RuntimeError(f"{name}: wrote {written} rows, found {read}")
@@ -95,8 +99,11 @@ def write_quality_report(report: DataFrame, path: str) -> None:
     quality.quality_summary(held).write.mode("overwrite").json(f"{path}/summary")
 
 
-def load_tables(star: Star, database: str, buckets: int | None = None, tables: list[str] | None = None) -> dict[str, int]:
-    """Append the star's tables to a warehouse database and reconcile the row counts.
+def load_tables(star: Star, database: str, buckets: int | None = None, tables: list[str] | None = None,
+                mode: str = "replace") -> dict[str, int]:
+    """Load the star's tables into a warehouse database and reconcile the row counts.
+
+    ``replace`` drops a table that is there first, so a rerun doubles nothing; ``append`` adds to it.
 
     With ``buckets`` the order and line tables are bucketed and sorted by order id, and their join
     moves no data. One task then reads each bucket, so leave it out where a single order may hold a
@@ -106,6 +113,10 @@ def load_tables(star: Star, database: str, buckets: int | None = None, tables: l
     spark.sql(f"create database if not exists `{database}`")
     for name in tables or list(TABLES):
         target = f"`{database}`.`{name}`"
+        if mode == "replace":
+            spark.sql(f"drop table if exists {target}")
+        elif mode != "append":
+            raise ValueError(f"unknown mode {mode!r}")
         before = spark.table(target).count() if spark.catalog.tableExists(f"{database}.{name}") else 0
         watch = Observation(f"rows of {name}")
         writer = star.table(name).observe(watch, F.count(F.lit(1)).alias("n")).write.mode("append").format("parquet")

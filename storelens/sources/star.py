@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,18 @@ def order_totals(order_items: DataFrame) -> DataFrame:
     )
 
 
+class RepeatedKey(ValueError):
+    """A table that must be unique on its key is not."""
+
+
+def require_unique(df: DataFrame, key: list[str], name: str) -> DataFrame:
+    """``df`` itself, or an error that names repeated keys: the assertion of a one-to-one merge."""
+    repeated = df.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1").orderBy(*key).take(3)
+    if repeated:
+        raise RepeatedKey(f"{name} is not unique on {', '.join(key)}: " + "; ".join(str(r.asDict()) for r in repeated))
+    return df
+
+
 class Star:
     """Base class: subclasses say where each table comes from; tables open on first use."""
 
@@ -84,7 +97,12 @@ class Star:
         Both sides are unique on ``order_id``, so the join cannot fan out or skew. A plan that asks
         for totals to be present becomes an inner join; one that reads no total drops the join.
         """
-        return self.orders.join(order_totals(self.order_items), "order_id", "left")
+        return self.narrowed_orders_with_totals(lambda orders: orders)
+
+    def narrowed_orders_with_totals(self, narrow: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``orders_with_totals`` of the orders that ``narrow`` leaves, which it sees before they meet
+        their lines. It may read keys and the order time."""
+        return narrow(self.orders).join(order_totals(self.order_items), "order_id", "left")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, SHORT_NAMES[name])
@@ -141,6 +159,6 @@ def read_parquet_star(spark: SparkSession, folder: str) -> Star:
 
 
 __all__ = [
-    "Star", "TableStar", "order_totals", "read_csv_star", "read_csv_table", "read_parquet_star",
+    "RepeatedKey", "Star", "TableStar", "order_totals", "require_unique", "read_csv_star", "read_csv_table", "read_parquet_star",
     "table_schema",
 ]

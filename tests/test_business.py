@@ -197,3 +197,21 @@ def test_units_rollup_compares_both_sides(make_star):
     )
     got = {r["product_id"]: (r["units_ordered"], r["units_booked"], r["difference"]) for r in marts.units_sold_rollup(star).collect()}
     assert got == {"p1": (10, 8, 2), "p9": (None, 2, -2)}
+
+
+def test_pairs_without_dimensions_take_no_place_in_the_cut(make_star):
+    stock = [dict(product_id=f"ghost{k}", stockout_minutes=500 + k) for k in range(30)]
+    star = make_star(inventory=[dict(stockout_minutes=5), *stock, dict(store_id="nowhere", stockout_minutes=900)])
+    rows = business.q17_availability_loss(star).collect()
+    assert [(r["store_id"], r["product_id"], r["stockout_minutes"]) for r in rows] == [("s1", "p1", 5)]
+
+
+def test_lines_without_an_order_name_no_category(make_star):
+    star = make_star(
+        products=[dict(product_id="p1"), dict(product_id="g", category="Ghost")],
+        orders=[dict(order_id="a", status="Refunded", refund_amount=D("40.00"))],
+        items=[dict(order_id="a"), dict(order_id="a"), dict(order_id="missing", product_id="g")],
+    )
+    rows = business.q24_category_refunds(star).collect()
+    assert [(r["category"], r["refunded_orders"]) for r in rows] == [("Food", 1)]
+    assert rows[0]["allocated_refund_value"] == 80.0

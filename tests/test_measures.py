@@ -85,3 +85,45 @@ def test_row_access(star, spark):
     access = spark.createDataFrame([("ann@example.com", "South"), ("ann@example.com", "South"), ("bob@example.com", "North")], "email string, city string")
     assert [r["store_id"] for r in measures.row_access(star.stores, access, "ann@example.com").collect()] == ["s2"]
     assert measures.row_access(star.stores, access, "eve@example.com").count() == 0
+
+
+def test_month_before_is_not_filtered_away(star):
+    rows = measures.gmv_month_over_month(star, where={"date.year_month": "2025-02"}).collect()
+    assert [(r["month"], r["realized_gmv"], r["realized_gmv_previous_month"]) for r in rows] == [(dt.date(2025, 2, 1), D("100"), D("100"))]
+    days = measures.gmv_month_over_month(star, where={"date.date": measures.Between(dt.date(2025, 2, 6), None)}).collect()
+    assert [(r["month"], r["realized_gmv"], r["realized_gmv_previous_month"]) for r in days] == [(dt.date(2025, 4, 1), D("200"), None)]
+
+
+def test_the_last_days_of_a_longer_month_count_for_the_next(make_star):
+    star = make_star(orders=[dict(order_id="a", order_ts=dt.datetime(2025, 1, 31, 23)), dict(order_id="b", order_ts=dt.datetime(2025, 2, 1))])
+    row = measures.gmv_month_over_month(star, where={"date.date": measures.Between(dt.date(2025, 2, 1), dt.date(2025, 2, 28))}).first()
+    assert row["realized_gmv_previous_month"] == D("100")
+
+
+def test_a_repeated_id_counts_once(make_star):
+    star = make_star(
+        orders=[dict(order_id="a"), dict(order_id="a"), dict(order_id="b", status="Cancelled", delivery_minutes=None)],
+        sessions=[dict(session_id="1", converted=True), dict(session_id="1", converted=True), dict(session_id="2")],
+    )
+    row = measures.measure(star, ["orders", "delivered_orders", "cancelled_orders", "on_time_orders", "cancellation_rate"]).first()
+    assert tuple(row) == (2, 1, 1, 1, 0.5)
+    assert tuple(measures.measure(star, ["sessions", "conversions", "conversion_rate"]).first()) == (2, 1, 0.5)
+
+
+def test_ranges_lists_and_values_filter(star):
+    def orders(where):
+        return measures.measure(star, "orders", where=where).first()["orders"]
+
+    between = measures.Between
+    assert orders({"date.date": between(dt.date(2025, 2, 5), dt.date(2025, 4, 5))}) == 2
+    assert orders({"date.year_month": between("2025-02", "2025-04")}) == 4
+    assert orders({"date.year_month": ["2025-01", "2025-04"]}) == 4
+    assert orders({"date.year": 2025, "delivery_minutes": between(None, D("30"))}) == 3
+    assert orders({"date.date": dt.date(2025, 4, 7), "stores.city": "North"}) == 0
+    assert orders({"date.weekday": "Sun", "customers.is_prime": True}) == 1
+
+
+def test_dimension_filters_stand_below_the_line_join(star):
+    plan = measures.measure(star, "contribution_margin", by=["date.year_month"], where={"customers.is_prime": True})
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("LeftOuter") < text.index("LeftSemi")

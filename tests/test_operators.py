@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from storelens.operators import date_dim, demand_forecast, fill_days, next_in_group, two_proportion_test
-from storelens.operators.sequence import heavy_keys
 
 
 @pytest.fixture(scope="module")
@@ -24,25 +23,25 @@ def orders(spark):
     )
 
 
-@pytest.mark.parametrize("least", [10, 1_000_000])
-@pytest.mark.parametrize("stretch", [3600, 86400 * 30])
-def test_next_in_group_matches_lead(orders, least, stretch):
-    got = next_in_group(orders, "customer", "ts", "id", "n", share=0.05, least=least, stretch_seconds=stretch)
+@pytest.mark.parametrize("bucket", ["hour", "day", "month", "year"])
+def test_next_in_group_matches_lead(orders, bucket):
+    got = next_in_group(orders, "customer", "ts", "id", "n", bucket)
     want = F.lead("ts").over(Window.partitionBy("customer").orderBy("ts", "id"))
     both = got.withColumn("w", want)
     assert both.count() == 3000
     assert both.where("not (n <=> w)").count() == 0
 
 
-def test_heavy_keys_are_few(orders):
-    assert [r[0] for r in heavy_keys(orders, "customer", share=0.05, least=10).collect()] == [0]
-    assert heavy_keys(orders, "customer").count() == 0
+def test_rows_without_a_time_come_first(spark):
+    rows = [(1, 1, None), (2, 1, None), (3, 1, dt.datetime(2025, 1, 2)), (4, 1, dt.datetime(2025, 3, 2))]
+    got = {r["id"]: r["n"] for r in next_in_group(spark.createDataFrame(rows, "id int, k int, ts timestamp_ntz"), "k", "ts", "id", "n").collect()}
+    assert got == {1: None, 2: dt.datetime(2025, 1, 2), 3: dt.datetime(2025, 3, 2), 4: None}
 
 
 def test_null_key_is_a_plain_group(spark):
     rows = [(1, None, dt.datetime(2025, 1, 1)), (2, None, dt.datetime(2025, 1, 2)), (3, 5, dt.datetime(2025, 1, 3))]
     df = spark.createDataFrame(rows, "id int, k int, ts timestamp_ntz")
-    got = {r["id"]: r["n"] for r in next_in_group(df, "k", "ts", "id", "n", share=0.0, least=0).collect()}
+    got = {r["id"]: r["n"] for r in next_in_group(df, "k", "ts", "id", "n").collect()}
     assert got == {1: dt.datetime(2025, 1, 2), 2: None, 3: None}
 
 

@@ -3,6 +3,8 @@ from decimal import Decimal as D
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from storelens.plans import quality
 from storelens.sources import TableStar
 
@@ -112,3 +114,28 @@ def test_composite_keys_and_optional_references(make_star):
     references = {(r["table_name"], r["column_name"]): r["violations"] for r in quality.reference_checks(star).collect()}
     assert references[("fact_sessions", "order_id")] == 1
     assert references[("fact_inventory_daily", "product_id")] == 0 and len(references) == 8
+
+
+def test_a_column_of_a_wrong_type_is_reported_and_ends_the_run(make_star):
+    star = make_star(**base())
+    broken = star.orders.withColumn("gross_merchandise_value", F.col("gross_merchandise_value").cast("string"))
+    star = TableStar(star.spark, {**star.tables, "fact_orders": broken})
+    rows = {r["check"]: r for r in quality.quality_report(star).collect()}
+    assert not rows["fact_orders: required columns"]["passed"]
+    assert "gross_merchandise_value=string instead of decimal(12,2)" in rows["fact_orders: required columns"]["detail"]
+    assert "order primary key" not in rows
+    failed = quality.type_checks(star).where("not passed").collect()
+    assert [(r["table_name"], r["column_name"], r["present"]) for r in failed] == [("fact_orders", "gross_merchandise_value", True)]
+
+
+@pytest.mark.parametrize("table,column,place", [
+    ("fact_orders", "customer_id", "orders"), ("fact_orders", "store_id", "orders"), ("fact_order_items", "order_id", "items"),
+    ("fact_order_items", "product_id", "items"), ("fact_sessions", "customer_id", "sessions"), ("fact_sessions", "order_id", "sessions"),
+    ("fact_inventory_daily", "store_id", "inventory"), ("fact_inventory_daily", "product_id", "inventory"),
+])
+def test_overlong_references_are_found(make_star, table, column, place):
+    tables = base()
+    tables["items"] = [dict(order_id=o["order_id"]) for o in tables["orders"]]
+    tables[place][0] = {**tables[place][0], column: "x" * 40}
+    broken = quality.constraint_violations(make_star(**tables), [table]).where("not passed").collect()
+    assert [(r["rule"], r["violations"]) for r in broken] == [(f"{column}_length", 1)]

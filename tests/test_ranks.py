@@ -73,7 +73,7 @@ def test_keys_at_ranks_with_text_key(spark):
 @pytest.mark.parametrize("small", [None, 60])
 def test_percentiles(spark, table, small):
     sparse = table.withColumn("s", F.when(F.col("id") % 7 == 0, F.col("v") / 3.0))
-    got = percentiles(sparse, {"v": 0.75, "m": 0.25, "s": 0.9}, ["id"], 3000, small)
+    got = percentiles(sparse, {"v": 0.75, "m": 0.25, "s": 0.9}, ["id"], small)
     frame = sparse.toPandas()
     assert got["v"] == frame["v"].quantile(0.75)
     assert got["m"] == frame["m"].astype(float).quantile(0.25)
@@ -82,5 +82,5 @@ def test_percentiles(spark, table, small):
 
 def test_percentile_of_nothing(spark):
     df = spark.range(200).select("id", F.lit(None).cast("double").alias("x"))
-    assert percentiles(df, {"x": 0.5}, ["id"], 200) == {"x": None}
-    assert percentiles(df, {"x": 0.5}, ["id"], 200, small=10) == {"x": None}
+    assert percentiles(df, {"x": 0.5}, ["id"]) == {"x": None}
+    assert percentiles(df, {"x": 0.5}, ["id"], small=10) == {"x": None}

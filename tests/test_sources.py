@@ -10,6 +10,7 @@ from storelens.plans import business, quality, views
 from storelens.session import shared_folder, write_once
 from storelens.sources import MappedStar, publish, read_csv_star, read_parquet_star
 from storelens.sources.schemas import TABLES, table_schema
+from storelens.sources.star import RepeatedKey
 
 
 @pytest.fixture(scope="module")
@@ -117,7 +118,9 @@ def test_warehouse_load_is_bucketed_and_reconciled(spark, star):
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert "Exchange" not in plan
     again = publish.load_tables(star, "shop", buckets=8, tables=["dim_stores"])
-    assert again["dim_stores"] == 10 and spark.table("shop.dim_stores").count() == 20
+    assert again["dim_stores"] == 10 and spark.table("shop.dim_stores").count() == 10
+    more = publish.load_tables(star, "shop", tables=["dim_stores"], mode="append")
+    assert more["dim_stores"] == 10 and spark.table("shop.dim_stores").count() == 20
     spark.sql("drop database shop cascade")
 
 
@@ -145,3 +148,15 @@ def test_batch_publishes_everything(spark, star, tmp_path):
     assert spark.read.json(str(tmp_path / "executive_kpis")).first()["orders"] == 1500
     facts = spark.read.json(str(tmp_path / "executive_memo_facts")).first()
     assert facts["decision"] == "do not launch the treatment yet" and facts["weakest_store_id"] is not None
+
+
+def test_a_repeated_order_stops_the_marts(make_star, tmp_path):
+    star = make_star(orders=[dict(order_id="a"), dict(order_id="a")])
+    with pytest.raises(RepeatedKey, match="fact_orders is not unique on order_id"):
+        publish.publish_marts(star, str(tmp_path / "marts"))
+
+
+def test_the_stated_order_count_is_compared(make_star, tmp_path):
+    (tmp_path / "metadata.json").write_text('{"row_counts": {"fact_orders": 7}}')
+    with pytest.raises(QualityFailed, match="metadata order count"):
+        run_batch(make_star(), str(tmp_path / "out"), metadata=str(tmp_path / "metadata.json"))

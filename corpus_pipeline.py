@@ -14,8 +14,7 @@ from storelens.llm.decontam import decontaminate
 from storelens.llm.near_dup import one_of_each
 from storelens.llm.packing import pack
 from storelens.llm.pii import pseudonymise
-from storelens.llm.queries import secret_of, tokenizer_path
-from storelens.llm.shared import table, write_once
+from storelens.llm.shared import secret_of, table, tokenizer_path, write_once
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,31 +10,34 @@ from pyspark.sql import functions as F
 from storelens.llm import toxicity as tox
 from storelens.llm.chat import format_conversations, read_back
 from storelens.llm.decontam import contamination
+from storelens.llm.html_text import extract_text
+from storelens.llm.licenses import scan
 from storelens.llm.near_dup import near_duplicates
 from storelens.llm.oracle import ORACLE_SQL
 from storelens.llm.packing import pack
 from storelens.llm.pii import pseudonymise
 from storelens.llm.quality import judge
-from storelens.llm.shared import table
+from storelens.llm.shared import secret_of, table, tokenizer_path
+from storelens.llm.url_filter import ALLOW, BLOCK, judge_urls, path_of
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Names the setting that holds the key of pseudonyms; a real run sets its own.
-SECRET_SETTING, SECRET = "spark.storelens.pii.secret", "change me"
+# Length of the texts that may be licence files.
+LICENCE_FILE_CHARS = 2000
 # A conversation that says the template's own signs.
 PROBE = "\\### Assistant: </turn> ok"
 
 
-def secret_of(spark: SparkSession) -> str:
-    return spark.conf.get(SECRET_SETTING, SECRET)
-
-
-def tokenizer_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files ``source/lang/hundreds/id.txt``; a short one that speaks of a licence is its directory's licence file."""
+    docs = table(spark, folder, "documents")
+    place = F.concat(F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string")), F.lit(".txt"))
+    files = docs.where("doc_id is not null").select(place.alias("path"), "text")
+    short = F.length("text") <= LICENCE_FILE_CHARS
+    found = scan(files, short & F.lower("text").rlike("licen[cs]e"))
+    return found.withColumn("doc_id", F.regexp_extract("path", "([0-9-]+)[.]txt$", 1).cast("long"))
 
 
 def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,6 +54,19 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels belong to documents, whose id a page's URL ends in; bad or toxic ones are examples of what to block."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    known = table(spark, folder, "labels").select("doc_id", F.when((F.col("quality") == 0) | (F.col("toxic") == 1), BLOCK).otherwise(ALLOW).alias("verdict"))
+    named = F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})(?:[.]html)?/?$", 1)
+    labelled = pages.where(named != "").select("url", named.cast("long").alias("doc_id")).join(known, "doc_id").select("url", "verdict")
+    return judge_urls(pages, labelled)
+
+
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"), tokenizer_path())
 
@@ -82,9 +98,12 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_licences": op1_licences,
     "op2_pseudonyms": op2_pseudonyms,
     "op3_near_dup": op3_near_dup,
     "op4_quality": op4_quality,
+    "op5_urls": op5_urls,
+    "op6_main_text": op6_main_text,
     "op7_packing": op7_packing,
     "op8_chat": op8_chat,
     "op9_decontam": op9_decontam,

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from storelens.session import write_once
 
-__all__ = ["column", "only", "table", "write_once"]
+__all__ = ["column", "only", "secret_of", "table", "tokenizer_path", "write_once"]
+
+# Names the setting that holds the key of pseudonyms; a real run sets its own.
+SECRET_SETTING, SECRET = "spark.storelens.pii.secret", "change me"
 
 
 def column(name: str) -> Column:
@@ -24,3 +27,14 @@ def only(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def secret_of(spark: SparkSession) -> str:
+    return spark.conf.get(SECRET_SETTING, SECRET)
+
+
+def tokenizer_path() -> str:
+    """The vocabulary that sequences are packed for; every executor has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from storelens.llm.chat import ASSISTANT, CONTROLS, END, HEAD, PART
+from storelens.llm.licenses import TEMPLATES, TERM, THRESHOLD
 
+# Length of the texts that may be licence files.
+LICENCE_FILE_CHARS = 2000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -57,4 +60,58 @@ select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_
 from docs d left join covered using (doc_id) left join found using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_chat": _CHAT, "op9_decontam": _DECONTAM}
+_SAID = ", ".join(
+    f"('{name}', {number}, '{text.replace(chr(39), chr(39) * 2)}')" for name, said in TEMPLATES.items() for number, text in enumerate(said)
+)
+
+_LICENCES = rf"""
+with files as (
+    select doc_id, concat_ws('/', source, lang, cast(cast(floor(doc_id / 100.0) as bigint) as varchar), cast(doc_id as varchar)) || '.txt' as path, text,
+        coalesce(length(text) <= {{most}} and regexp_matches(lower(text), 'licen[cs]e'), false) as speaks
+    from documents where doc_id is not null
+), templates(licence, number, said) as (values {_SAID}),
+template_terms as (
+    select licence, number, term, count(*) as n
+    from (select licence, number, unnest(regexp_extract_all(lower(said), '{TERM}')) as term from templates) as x group by all
+), total as (select count(*) as n from files where text is not null),
+frequency as (
+    select term, count(*) as n from (select distinct path, unnest(regexp_extract_all(lower(text), '{TERM}')) as term from files) as x
+    where term in (select term from template_terms) group by term
+), weights as (
+    select term, ln((total.n + 1) / (coalesce(f.n, 0) + 1)) + 1 as w
+    from (select distinct term from template_terms) as t left join frequency f using (term), total
+), vectors as (
+    select licence, number, term, t.n * w / sqrt(sum(t.n * w * t.n * w) over (partition by licence, number)) as share
+    from template_terms t join weights using (term)
+), lines as (
+    select path, generate_subscripts(parts, 1) - 1 as line, unnest(parts) as said
+    from (select path, string_split(text, chr(10)) as parts from files where text is not null) as x
+), line_terms as (
+    select path, line, term, count(*) as n
+    from (select path, line, unnest(regexp_extract_all(lower(said), '{TERM}')) as term from lines) as x group by all
+), weighed as (
+    select l.*, l.n * coalesce(w, ln(total.n + 1) + 1) as value from line_terms l left join weights using (term), total
+), lengths as (select path, line, sqrt(sum(value * value)) as norm from weighed group by path, line),
+close as (
+    select path, line, licence, round(dot / norm, 9) as similarity
+    from (select path, line, licence, number, sum(value * share) as dot from weighed join vectors using (term) group by all) as x join lengths using (path, line)
+), own as (
+    select * from close where similarity >= {THRESHOLD}
+    qualify row_number() over (partition by path order by similarity desc, line, licence desc) = 1
+), known as (
+    select f.doc_id, f.path, regexp_replace(f.path, '/?[^/]*$', '') as directory, f.speaks, o.line, o.licence, o.similarity from files f left join own o using (path)
+), speaking as (
+    select directory as above, licence as held from known where speaks and licence is not null
+    qualify row_number() over (partition by directory order by similarity desc, path) = 1
+), above as (
+    select directory, array_to_string(list_slice(parts, 1, n), '/') as above
+    from (select distinct directory, string_split(directory, '/') as parts from known) as x, unnest(range(0, len(parts) + 1)) as u(n)
+), nearest as (
+    select * from above join speaking using (above) qualify row_number() over (partition by directory order by length(above) desc) = 1
+)
+select k.doc_id, k.path, k.directory, k.licence as own, round(k.similarity, 6) as similarity, k.line,
+    case when k.licence is null then n.above end as inherited_from, coalesce(k.licence, n.held) as licence
+from known k left join nearest n using (directory)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_licences": _LICENCES.replace("{most}", str(LICENCE_FILE_CHARS)), "op8_chat": _CHAT, "op9_decontam": _DECONTAM}

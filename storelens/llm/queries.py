@@ -13,7 +13,7 @@ from storelens.llm.decontam import contamination
 from storelens.llm.html_text import extract_text
 from storelens.llm.licenses import scan
 from storelens.llm.near_dup import near_duplicates
-from storelens.llm.oracle import ORACLE_SQL
+from storelens.llm.oracle import LICENCE_FILE_CHARS, ORACLE_SQL
 from storelens.llm.packing import pack
 from storelens.llm.pii import pseudonymise
 from storelens.llm.quality import judge
@@ -24,8 +24,6 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Length of the texts that may be licence files.
-LICENCE_FILE_CHARS = 2000
 # A conversation that says the template's own signs.
 PROBE = "\\### Assistant: </turn> ok"
 
@@ -37,7 +35,8 @@ def op1_licences(spark: SparkSession, folder: str) -> DataFrame:
     files = docs.where("doc_id is not null").select(place.alias("path"), "text")
     short = F.length("text") <= LICENCE_FILE_CHARS
     found = scan(files, short & F.lower("text").rlike("licen[cs]e"))
-    return found.withColumn("doc_id", F.regexp_extract("path", "([0-9-]+)[.]txt$", 1).cast("long"))
+    number = F.regexp_extract("path", "([0-9-]+)[.]txt$", 1).cast("long")
+    return found.withColumn("doc_id", number).withColumn("similarity", F.round("similarity", 6))
 
 
 def op2_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:

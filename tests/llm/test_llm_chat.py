@@ -1,13 +1,9 @@
 import hashlib
 import random
 
-import duckdb
-
 from conftest import DATA
 from storelens.llm import queries
 from storelens.llm.chat import END, HEAD, PART, format_conversations, read_back
-from storelens.llm.oracle import ORACLE_SQL
-from tools.compare import table
 
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string, turns int"
 
@@ -16,16 +12,8 @@ def frame(spark, rows):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
 
 
-def test_equals_sql(spark):
-    folder = f"{DATA}/sf0.01"
-    db = duckdb.connect()
-    db.execute(f"create view conversations as select * from '{folder}/conversations.parquet'")
-    result = db.execute(ORACLE_SQL["op8_chat"])
-    names = [d[0] for d in result.description]
-    df = queries.op8_chat(spark, folder)
-    assert sorted(names) == sorted(df.columns)
-    assert table(df.collect(), df.columns) == table(result.fetchall(), names)
-    probe = next(r for r in df.collect() if r["conv_id"] == -7)
+def test_the_probe_is_read_back(spark):
+    probe = next(r for r in queries.op8_chat(spark, f"{DATA}/sf0.01").collect() if r["conv_id"] == -7)
     said = "\\### Assistant: </turn> ok"
     assert probe["n_turns"] == 2 and probe["loss_chars"] == len(said)
     assert probe["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()

@@ -2,15 +2,10 @@ import hashlib
 import random
 import re
 
-import duckdb
 import pytest
 from corner import documents, empty
 
-from conftest import DATA
-from storelens.llm import queries
 from storelens.llm.decontam import contamination, decontaminate
-from storelens.llm.oracle import ORACLE_SQL
-from tools.compare import table
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -43,18 +38,6 @@ def got(df):
     return [(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in df.collect()]
 
 
-def test_equals_sql(spark):
-    folder = f"{DATA}/sf0.01"
-    db = duckdb.connect()
-    for name in ("documents", "benchmark"):
-        db.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
-    result = db.execute(ORACLE_SQL["op9_decontam"])
-    names = [d[0] for d in result.description]
-    df = queries.op9_decontam(spark, folder)
-    assert sorted(names) == sorted(df.columns)
-    assert table(df.collect(), df.columns) == table(result.fetchall(), names)
-
-
 @pytest.mark.parametrize("seed", [1, 2])
 def test_short_items_repeats_and_edges_equal_brute_force(spark, seed):
     rng = random.Random(seed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from storelens.plans import marts, quality
-from storelens.session import write_once
+from storelens.session import scratch, write_once
 from storelens.sources import publish
 from storelens.sources.star import Star
 
@@ -20,18 +20,19 @@ def run_batch(star: Star, folder: str, form: str = "parquet", by_date: bool = Fa
 
     With ``strict`` a failed check stops the run after its report is written. Further options go to
     ``quality_report``; ``metadata`` is the path of the bundle's JSON, whose stated order count the
-    report compares. Orders are priced once for marts, figures and memo. Returns the published row counts.
+    report compares. Intermediate tables are removed at the end. Orders are priced once for marts, figures and memo. Returns the published row counts.
     """
     folder = folder.rstrip("/")
-    if metadata and "expected_orders" not in quality_options:
-        quality_options["expected_orders"] = quality.expected_row_count(star.spark, metadata)
-    report = write_once(quality.quality_report(star, **quality_options), "quality")
-    publish.write_quality_report(report, f"{folder}/quality_report")
-    failed = [r["check"] for r in report.where("not passed").select("check").collect()]
-    if failed and strict:
-        raise QualityFailed("; ".join(failed))
-    priced = publish.PricedStar(star)
-    counts = publish.publish_marts(priced, f"{folder}/marts", form, by_date)
-    publish.write_executive_kpis(priced, f"{folder}/executive_kpis")
-    marts.executive_memo_facts(priced).write.mode("overwrite").json(f"{folder}/executive_memo_facts")
-    return counts
+    with scratch(star.spark):
+        if metadata and "expected_orders" not in quality_options:
+            quality_options["expected_orders"] = quality.expected_row_count(star.spark, metadata)
+        report = write_once(quality.quality_report(star, **quality_options), "quality")
+        publish.write_quality_report(report, f"{folder}/quality_report")
+        failed = [r["check"] for r in report.where("not passed").select("check").collect()]
+        if failed and strict:
+            raise QualityFailed("; ".join(failed))
+        priced = publish.PricedStar(star)
+        counts = publish.publish_marts(priced, f"{folder}/marts", form, by_date)
+        publish.write_executive_kpis(priced, f"{folder}/executive_kpis")
+        marts.executive_memo_facts(priced).write.mode("overwrite").json(f"{folder}/executive_memo_facts")
+        return counts

@@ -220,31 +220,46 @@ def inventory_store_kpis(star: Star) -> DataFrame:
     return _inventory_sums(star, "store_id").join(star.stores.select("store_id", "city", "zone"), "store_id")
 
 
-def _headline(star: Star) -> DataFrame:
-    """One row of order-side figures.
+def _order_sums() -> list[Column]:
+    """Sums and counts of order-side figures that add up over any groups.
 
-    Orders and customers count every order; money and service count orders with lines. Customers
-    are counted apart, from their ids alone: beside the sums, every sum would travel per customer.
+    Orders count every order; money and service count orders with lines.
     """
-    orders = views.with_economics(star.orders_with_totals)
     with_lines = F.col("units").isNotNull()
+    served = with_lines & not_cancelled()
 
     def total(name: str, condition: Column = with_lines) -> Column:
         return F.sum(F.when(condition, F.col(name)))
 
-    sums = orders.agg(
-        F.count(ROWS).alias("orders"),
-        total("gross_merchandise_value").alias("gmv"),
-        total("net_revenue").alias("net_revenue"),
-        total("contribution_margin").alias("contribution_margin"),
-        rate(is_cancelled()).alias("cancellation_rate"),
-        rate(F.when(with_lines & not_cancelled(), F.col("is_on_time"))).alias("on_time_rate"),
+    return [
+        F.count(ROWS).alias("orders"), total("gross_merchandise_value").alias("gmv"), total("net_revenue").alias("net_revenue"),
+        total("contribution_margin").alias("contribution_margin"), F.count_if(with_lines).alias("with_lines"),
+        F.count_if(is_cancelled()).alias("cancelled"), F.count("status").alias("known"),
+        F.count_if(served & F.col("is_on_time")).alias("on_time"), F.count_if(served).alias("served"),
         *[
             total("contribution_margin", with_lines & (F.col("experiment_variant") == v)).alias(f"{v.lower()}_margin")
             for v in ("Control", "Treatment")
         ],
-    )
-    return _beside(sums, star.orders.agg(F.count_distinct("customer_id").alias("customers")))
+    ]
+
+
+def _headline_columns() -> list[Column]:
+    return [
+        F.col("orders"), F.col("gmv"), F.col("net_revenue"), F.col("contribution_margin"),
+        ratio(F.col("cancelled"), F.col("known")).alias("cancellation_rate"),
+        ratio(F.col("on_time"), F.col("served")).alias("on_time_rate"), F.col("control_margin"), F.col("treatment_margin"),
+    ]
+
+
+def _customer_count(star: Star) -> DataFrame:
+    """Customers are counted apart, from their ids alone: beside the sums, every sum would travel per customer."""
+    return star.orders.agg(F.count_distinct("customer_id").alias("customers"))
+
+
+def _headline(star: Star) -> DataFrame:
+    """One row of order-side figures."""
+    sums = views.with_economics(star.orders_with_totals).agg(*_order_sums()).select(*_headline_columns())
+    return _beside(sums, _customer_count(star))
 
 
 def _beside(df: DataFrame, *one_rows: DataFrame) -> DataFrame:
@@ -257,10 +272,14 @@ def _beside(df: DataFrame, *one_rows: DataFrame) -> DataFrame:
     return df
 
 
-def _headline_with_sessions(star: Star) -> DataFrame:
+def _with_sessions(headline: DataFrame, star: Star) -> DataFrame:
     """Order and session figures side by side, with the test of the two conversion rates."""
     z, p = two_proportion_test(*(F.col(c) for c in ("x_control", "n_control", "x_treatment", "n_treatment")))
-    return _beside(_headline(star), business.session_counts(star)).select("*", z.alias("z_score"), p.alias("p_value"))
+    return _beside(headline, business.session_counts(star)).select("*", z.alias("z_score"), p.alias("p_value"))
+
+
+def _headline_with_sessions(star: Star) -> DataFrame:
+    return _with_sessions(_headline(star), star)
 
 
 def _conversion(variant: str) -> Column:
@@ -315,18 +334,32 @@ def weakest_stores(star: Star, top: int = 10) -> DataFrame:
 
 
 def executive_memo_facts(star: Star) -> DataFrame:
-    """One row with every figure the memo states."""
+    """One row with every figure the memo states.
+
+    Orders fold once per store; headline and weakest store both come from those rows.
+    """
     repeat = retention_by_service(star).agg(
         *[
             F.max(F.when(F.col("service_group") == group, F.col("repeat_30d_rate"))).alias(name)
             for group, name in ((ON_TIME, "on_time_repeat_rate"), (LATE, "late_repeat_rate"))
         ]
     )
-    weakest = weakest_stores(star, 1).select(
-        F.col("store_id").alias("weakest_store_id"), F.col("zone").alias("weakest_zone"),
-        F.col("city").alias("weakest_city"), F.col("contribution_margin").alias("weakest_margin"),
+    per_store = views.with_economics(star.orders_with_totals).groupBy("store_id").agg(*_order_sums())
+    places = star.stores.select(F.col("store_id").alias("_store"), "zone", "city")
+    placed = per_store.join(places, F.col("store_id") == F.col("_store"), "left")
+    # A store takes part if it is known and has an order with lines; unknown margins come last.
+    judged = F.col("_store").isNotNull() & (F.col("with_lines") > 0)
+    margin = F.col("contribution_margin")
+    weakest = F.min_by(
+        F.struct(F.col("store_id").alias("store_id"), F.col("zone"), F.col("city"), margin.alias("margin")),
+        F.when(judged, F.struct(margin.isNull(), margin, F.col("store_id"))),
+    )
+    names = ["orders", "gmv", "net_revenue", "contribution_margin", "cancelled", "known", "on_time", "served", "control_margin", "treatment_margin"]
+    folded = placed.agg(*[F.sum(n).alias(n) for n in names], weakest.alias("weakest")).select(
+        *_headline_columns(), F.col("weakest.store_id").alias("weakest_store_id"), F.col("weakest.zone").alias("weakest_zone"),
+        F.col("weakest.city").alias("weakest_city"), F.col("weakest.margin").alias("weakest_margin"),
     )
-    facts = _beside(_headline_with_sessions(star), repeat, weakest)
+    facts = _beside(_with_sessions(_beside(folded, _customer_count(star)), star), repeat)
     return facts.select(
         "orders", "customers", "contribution_margin",
         ratio(F.col("contribution_margin"), F.col("net_revenue")).alias("margin_rate"),

@@ -6,10 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_FOLDER: dict[str, str] = {}
+# Folders written since each ``scratch`` block began, the innermost block last.
+_SCRATCH: list[list[str]] = []
 
 
 def build_session(master: str | None = None, cores: int = 8, app_name: str = "storelens",
@@ -59,13 +63,31 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN_FOLDER["path"]
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns what ``write_once`` writes inside the block, and removes it at its end.
+
+    A result that still reads such a folder must be written or collected before the block ends.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader over it.
 
     For a result that several later jobs must see unchanged: the lineage ends at the files, so a
-    lost executor costs a re-read and no recomputation, and filters still reach the scan.
+    lost executor costs a re-read and no recomputation, and filters still reach the scan. Inside a
+    ``scratch`` block the folder goes when the block ends; else it stays for the caller to remove.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ the padding of its windows plus a penalty for each cut inside a document. With `
 cut, ``best(j) = min over i of best(i) + CAPACITY - (pos(j) - pos(i)) + penalty(j)``, so the best earlier
 cut is the minimum of ``best(i) + pos(i)`` over the cuts at most ``CAPACITY`` back: a sliding minimum,
 kept by a monotone queue in constant time per cut. A window whose length is a power of two needs no
-padding; these are at most a dozen further transitions to exact positions.
+padding; from ``LEAST_POWER`` on these are a few further transitions to exact positions.
 
 A task packs its stream in stretches: the windows before the last one are final, the rest is carried
 on, so memory is bounded by the stretch and the longest document. What is left at the end of a task is
@@ -17,10 +17,12 @@ cut into powers of two where that costs less than padding it.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,37 +31,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.shared import only
-from storelens.llm.words import slices, text_bytes
+from storelens.llm.words import NOT_BLANK, U64, Words, slices, text_bytes
 
 CAPACITY = 4096
 END_ID = 2
 # Costs in tokens of padding: a cut at a sentence's end, one inside a sentence, and each window.
-SENTENCE_CUT, HARD_CUT, WINDOW_COST = 0.5, 8.0, 4.0
+SENTENCE_CUT, HARD_CUT, WINDOW_COST = 0.25, 8.0, 2.0
+# The shortest window that goes without padding on purpose, and the least tokens between two sentence cuts.
+LEAST_POWER, LEAST_GAP = 128, 4
 # Tokens that are cut together before the finished windows are handed on.
 STRETCH = 1 << 18
-# Words whose ids a task remembers, and their bytes.
-REMEMBERED, REMEMBERED_BYTES = 250_000, 1 << 25
-# Characters that end a sentence, and those that may follow within its last word.
-SENTENCE_ENDS, AFTER_END = (b".", b"!", b"?"), b"\"')]*#$%&"
-
-
-class _Index(dict):
-    """Word to number; a word not seen before gets the next one and is noted."""
-
-    def __init__(self):
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        self.fresh.append(word)
-        return number
+# Words whose ids a worker remembers, and the slots of the table they are found in.
+REMEMBERED, SLOT_BITS = 1_200_000, 22
+SLOTS = 1 << SLOT_BITS
+# Signs that end a sentence, signs that close a word, and the two together.
+SENTENCE_ENDS, CLOSING = (b".", b"!", b"?"), b".,;:!?\"')]}*#$%&"
+SENTENCE_END = re.compile(rb"[.!?][\"')\]}*#$%&]*$")
 
 
 class WordIds:
-    """Token ids of texts, word by word, for a tokenizer that drops white space.
+    """Token ids of texts, word by word, for a tokenizer that drops white space and case.
 
     Such a tokenizer splits at white space first, so a text's ids are those of its blank-separated
-    words in turn; words repeat, so the ids of the last ``REMEMBERED`` words or ``REMEMBERED_BYTES`` are kept.
+    words in turn. Words repeat, so their ids are kept, found by the word's hash in an open-addressed
+    table of arrays. A word's closing punctuation is a piece of its own to the tokenizer, so words that
+    differ in case or punctuation only share the work. Texts with a control string go the plain way.
     """
 
     def __init__(self, path: str):
@@ -70,45 +66,117 @@ class WordIds:
         self.forget()
 
     def forget(self) -> None:
-        self.index = _Index()
-        self.held = 0
+        self.slot_hash = np.zeros(SLOTS, U64)
+        self.slot_word = np.zeros(SLOTS, np.int32)
         self.words, self.ids = 0, 0
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.begin = np.empty(1 << 14, np.int64)
-        self.size = np.empty(1 << 14, np.int64)
-        self.stops = np.empty(1 << 14, bool)
-
-    def _learn(self) -> None:
-        words, self.index.fresh = self.index.fresh, []
-        if not words:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        new, total = self.words + len(words), self.ids + int(sizes.sum())
+        self.flat = np.empty(1 << 18, np.uint32)
+        self.begin = np.empty(1 << 16, np.int64)
+        self.size = np.empty(1 << 16, np.int64)
+        self.stops = np.empty(1 << 16, bool)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each known word, -1 for the others."""
+        found = np.full(len(hashes), -1, np.int64)
+        left = np.arange(len(hashes))
+        at = (hashes >> U64(64 - SLOT_BITS)).astype(np.int64)
+        while len(left):
+            held = self.slot_hash[at]
+            same = held == hashes[left]
+            found[left[same]] = self.slot_word[at[same]]
+            go_on = ~same & (held != 0)
+            left, at = left[go_on], (at[go_on] + 1) % SLOTS
+        return found
+
+    def _store(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        at = (hashes >> U64(64 - SLOT_BITS)).astype(np.int64)
+        while len(hashes):
+            free = np.flatnonzero(self.slot_hash[at] == 0)
+            _, first = np.unique(at[free], return_index=True)
+            taken = free[first]
+            self.slot_hash[at[taken]] = hashes[taken]
+            self.slot_word[at[taken]] = numbers[taken]
+            rest = np.ones(len(hashes), bool)
+            rest[taken] = False
+            hashes, numbers, at = hashes[rest], numbers[rest], (at[rest] + 1) % SLOTS
+
+    def _append(self, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray, stops: np.ndarray) -> None:
+        new, total = self.words + len(sizes), self.ids + len(ids)
         if total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(total, np.uint32)])
         if new > len(self.begin):
             self.begin, self.size, self.stops = (np.concatenate([a, np.empty(new, a.dtype)]) for a in (self.begin, self.size, self.stops))
-        self.flat[self.ids:total] = np.fromiter((i for ids in found for i in ids), np.uint32, total - self.ids)
+        self.flat[self.ids:total] = ids
         self.begin[self.words:new] = self.ids + np.cumsum(sizes) - sizes
         self.size[self.words:new] = sizes
-        self.stops[self.words:new] = [w.rstrip(AFTER_END)[-1:] in SENTENCE_ENDS for w in words]
+        self.stops[self.words:new] = stops
+        self._store(hashes, np.arange(self.words, new))
         self.words, self.ids = new, total
-        self.held += sum(map(len, words))
 
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _tokenize(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        self._append(hashes, sizes, ids, np.array([w[-1:] in SENTENCE_ENDS for w in words], bool))
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Store new words: each by its lower-cased core and its closing punctuation, where it has both."""
+        plain, split, parts = [], [], []
+        for k, word in enumerate(words):
+            core = word.rstrip(CLOSING)
+            if core[-1:].isalnum() and b"<|" not in word and (len(core) < len(word) or not word.islower()):
+                split.append(k)
+                parts += [core.lower(), word[len(core):]]
+            else:
+                plain.append(k)
+        if plain:
+            self._tokenize(hashes[plain], [words[k] for k in plain])
+        if not split:
+            return
+        joined = b" ".join(p or b"." for p in parts)
+        w = Words(np.frombuffer(joined, np.uint8), np.array([0, len(joined)]), NOT_BLANK, lower=False)
+        part_hashes = w.hashes()
+        _, first = np.unique(part_hashes, return_index=True)
+        fresh = first[self._find(part_hashes[first]) < 0]
+        if len(fresh):
+            self._tokenize(part_hashes[fresh], [parts[k] or b"." for k in fresh.tolist()])
+        numbers = self._find(part_hashes)
+        sizes = np.where(np.fromiter(map(bool, parts), bool, len(parts)), self.size[numbers], 0)
+        stops = np.array([bool(SENTENCE_END.search(words[k])) for k in split], bool)
+        # A core that is itself one of the new words is stored by now.
+        known = self._find(hashes[split]) >= 0
+        pairs = sizes.reshape(-1, 2)
+        ids = self.flat[_ranges(self.begin[numbers].reshape(-1, 2)[~known].ravel(), pairs[~known].ravel())]
+        self._append(hashes[split][~known], pairs[~known].sum(axis=1), ids, stops[~known])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per text its ids, and the positions after the ids of words that end a sentence."""
-        if len(self.index) > REMEMBERED or self.held > REMEMBERED_BYTES:
+        if self.words > REMEMBERED:
             self.forget()
-        split = [t.split() for t in texts]
-        rows = [np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)) for words in split]
-        self._learn()
-        for row in rows:
-            sizes = self.size[row]
-            after = np.cumsum(sizes)
-            total = int(after[-1]) if len(after) else 0
-            at = np.repeat(self.begin[row] - (after - sizes), sizes) + np.arange(total)
-            yield self.flat[at], after[self.stops[row]]
+        w = Words(data, offsets, NOT_BLANK, lower=False)
+        hashes = w.hashes()
+        numbers = self._find(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            places = missing[first]
+            raw = data.tobytes()
+            self._learn(new, [raw[a:b] for a, b in zip(w.starts[places].tolist(), w.ends[places].tolist())])
+            numbers[missing] = self._find(hashes[missing])
+        sizes = self.size[numbers]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[_ranges(self.begin[numbers], sizes)]
+        stops = np.flatnonzero(self.stops[numbers])
+        ends, edges = after[stops + 1], np.searchsorted(stops, w.first)
+        begins = after[w.first]
+        for k in range(len(offsets) - 1):
+            yield ids[begins[k]:begins[k + 1]], ends[edges[k]:edges[k + 1]] - begins[k]
+
+
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions ``begin, begin + 1, ...`` of each stretch, one after the other."""
+    after = np.cumsum(sizes)
+    total = int(after[-1]) if len(after) else 0
+    return np.repeat(begins - (after - sizes), sizes) + np.arange(total)
 
 
 @lru_cache(maxsize=2)
@@ -124,7 +192,7 @@ def cut_windows(positions: np.ndarray, penalties: np.ndarray, capacity: int = CA
     n = len(positions)
     pos, pen = positions.tolist(), penalties.tolist()
     exact: dict[int, list[int]] = {}
-    power = 1
+    power = min(LEAST_POWER, capacity)
     while power < capacity:
         back = np.searchsorted(positions, positions - power)
         back = np.minimum(back, n - 1)
@@ -179,7 +247,9 @@ class _Stream:
     def _candidates(self) -> tuple[np.ndarray, np.ndarray]:
         places, costs, at = [np.zeros(1, np.int64)], [np.zeros(1)], 0
         for _, ids, ends, done in self.docs:
-            inner = ends[(ends > done) & (ends < len(ids))] - done + at
+            inner = ends[(ends > done) & (ends < len(ids))] - done
+            # Of sentence ends within a few tokens the last one counts.
+            inner = inner[np.append(inner[1:] // LEAST_GAP != inner[:-1] // LEAST_GAP, True)] + at if len(inner) else inner
             at += len(ids) - done
             places += [inner, np.array([at])]
             costs += [np.full(len(inner), SENTENCE_CUT), np.zeros(1)]
@@ -246,8 +316,8 @@ def _pack(path: str, end_id: int, capacity: int):
             data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_pylist()
             for lo, hi in slices(offsets):
-                texts = [data[offsets[i]:offsets[i + 1]].tobytes() for i in range(lo, hi)]
-                for key, (ids, ends) in zip(keys[lo:hi], words.encode(texts)):
+                at = offsets[lo:hi + 1]
+                for key, (ids, ends) in zip(keys[lo:hi], words.encode(data[at[0]:at[-1]], at - at[0])):
                     stream.add(key, np.append(ids, np.uint32(end_id)), ends)
                     if stream.length >= STRETCH:
                         stream.pack(last=False)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from storelens.llm.bloom import bloom, in_bloom
 from storelens.llm.shared import column, only, write_once
-from storelens.llm.words import ALNUM, U64, Words, gram_hashes, slices, text_bytes
+from storelens.llm.words import ALNUM, Words, gram_hashes, ranges, slices, text_bytes
 
 WINDOW = 13
 GRAM = 7
@@ -103,36 +103,36 @@ def _candidates(shared, lengths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row its number of words and the windows around fingerprints that the filter lets through."""
         sieve = shared.value
-        kinds = pa.struct([("print", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("window", pa.int64())])
         for batch in batches:
             data, offsets = text_bytes(batch.column(2))
-            counts, hits = [], []
             for lo, hi in slices(offsets):
                 at = offsets[lo:hi + 1]
                 g = _Grams(Words(data[at[0]:at[-1]], at - at[0], ALNUM, lower=True))
-                counts += g.counts.tolist()
-                mine: list[list | None] = [None] * (hi - lo)
                 prints = g.prints[in_bloom(sieve, g.grams[g.prints])]
-                for p, i in zip(prints.tolist(), g.text_of(prints).tolist()):
-                    begin, end = g.first[i], g.last[i]
-                    for s in range(max(p - SPAN + 1, begin), min(p + 1, end)):
-                        mine[i] = mine[i] or []
-                        mine[i].append((g.grams[p], s - begin, WINDOW, g.windows[s]))
+                owner = g.text_of(prints)
+                # The windows that hold the fingerprint and lie within its text.
+                begins = np.maximum(prints - SPAN + 1, g.first[owner])
+                sizes = np.minimum(prints + 1, g.last[owner]) - begins
+                starts = ranges(begins, sizes)
+                found = [(np.repeat(owner, sizes), np.repeat(g.grams[prints], sizes), starts, np.full(len(starts), WINDOW), g.windows[starts])]
                 for n in lengths:
                     grams = gram_hashes(g.hashes, n)
                     starts = np.flatnonzero(in_bloom(sieve, grams))
-                    for s, i in zip(starts.tolist(), g.text_of(starts).tolist()):
-                        if s + n <= g.first[i + 1]:
-                            mine[i] = mine[i] or []
-                            mine[i].append((grams[s], s - g.first[i], n, grams[s]))
-                hits += [
-                    m and [{"print": int(np.int64(a.view(np.int64))), "start": int(s), "n": n, "window": int(w.view(np.int64))} for a, s, n, w in m]
-                    for m in mine
-                ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(kinds))],
-                names=["doc_id", "key", "n_words", "hits"],
-            )
+                    text = g.text_of(starts)
+                    inside = starts + n <= g.first[text + 1]
+                    starts, text = starts[inside], text[inside]
+                    found.append((text, grams[starts], starts, np.full(len(starts), n), grams[starts]))
+                text, prints, starts, sizes, windows = (np.concatenate(column) for column in zip(*found))
+                order = np.argsort(text, kind="stable")
+                text = text[order]
+                edges = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=hi - lo))]).astype(np.int32)
+                hits = pa.StructArray.from_arrays(
+                    [pa.array(prints[order].view(np.int64)), pa.array((starts[order] - g.first[text]).astype(np.int32)),
+                     pa.array(sizes[order].astype(np.int32)), pa.array(windows[order].view(np.int64))], names=["print", "start", "n", "window"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(g.counts.astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(edges), hits)], names=["doc_id", "key", "n_words", "hits"],
+                )
 
     return run
 
@@ -168,7 +168,7 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = 5, id_column
     )
     occurring = windows.select("window", "n").distinct()
     hits = (
-        found.where("hits is not null").select("doc_id", "key", F.explode("hits").alias("hit")).select("doc_id", "key", "hit.*")
+        found.where("size(hits) > 0").select("doc_id", "key", F.explode("hits").alias("hit")).select("doc_id", "key", "hit.*")
         .join(prints, "print", "left_semi").select("doc_id", "key", "start", "n", "window").distinct()
         .join(occurring, ["window", "n"], "left_semi")
     )

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.shared import only
-from storelens.llm.words import NOT_BLANK, U64, Words, slices, text_bytes
+from storelens.llm.words import NOT_BLANK, U64, Words, ranges, slices, text_bytes
 
 CAPACITY = 4096
 END_ID = 2
@@ -145,7 +145,7 @@ class WordIds:
         # A core that is itself one of the new words is stored by now.
         known = self._find(hashes[split]) >= 0
         pairs = sizes.reshape(-1, 2)
-        ids = self.flat[_ranges(self.begin[numbers].reshape(-1, 2)[~known].ravel(), pairs[~known].ravel())]
+        ids = self.flat[ranges(self.begin[numbers].reshape(-1, 2)[~known].ravel(), pairs[~known].ravel())]
         self._append(hashes[split][~known], pairs[~known].sum(axis=1), ids, stops[~known])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -164,7 +164,7 @@ class WordIds:
             numbers[missing] = self._find(hashes[missing])
         sizes = self.size[numbers]
         after = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[_ranges(self.begin[numbers], sizes)]
+        ids = self.flat[ranges(self.begin[numbers], sizes)]
         stops = np.flatnonzero(self.stops[numbers])
         ends, edges = after[stops + 1], np.searchsorted(stops, w.first)
         begins = after[w.first]
@@ -172,13 +172,6 @@ class WordIds:
             yield ids[begins[k]:begins[k + 1]], ends[edges[k]:edges[k + 1]] - begins[k]
 
 
-def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The positions ``begin, begin + 1, ...`` of each stretch, one after the other."""
-    after = np.cumsum(sizes)
-    total = int(after[-1]) if len(after) else 0
-    return np.repeat(begins - (after - sizes), sizes) + np.arange(total)
-
-
 @lru_cache(maxsize=2)
 def _word_ids(path: str) -> WordIds:
     return WordIds(path)

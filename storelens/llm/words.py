@@ -128,3 +128,10 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, n):
         total = total + words[k:len(words) - n + 1 + k] * factors[k]
     return mix(total)
+
+
+def ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions ``begin, begin + 1, ...`` of each stretch, one stretch after the other."""
+    after = np.cumsum(sizes)
+    total = int(after[-1]) if len(after) else 0
+    return np.repeat(begins - (after - sizes), sizes) + np.arange(total)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.shared import only, write_once
+from storelens.llm.shared import hashed_sample, only, write_once
 from storelens.llm.words import NOT_BLANK, U64, Words, byte_set, gram_hashes, mix, slices, span_hashes, text_bytes
 
 GRAM = 5
@@ -205,7 +205,7 @@ def judge(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, id_col
     counted = write_once(rule_counts(docs, id_column, text_column).withColumn("base_failed", base), "quality-counts")
     known = only(labels, ["doc_id", "quality"]).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     labelled = write_once(counted.where("not base_failed").join(known, "doc_id").select("doc_id", "quality", *COUNTS), "quality-labelled")
-    sample = labelled.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(most_rows).select(*COUNTS).toPandas()
+    sample = hashed_sample(labelled.where("quality = 1"), ["doc_id"], most_rows).select(*COUNTS).toPandas()
     if sample.empty:
         return counted.withColumn("anomaly", F.lit(None).cast("double")).withColumn("kept", ~F.col("base_failed"))
     forest = Forest(statistics(sample))

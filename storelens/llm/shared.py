@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from storelens.session import write_once
 
-__all__ = ["column", "only", "secret_of", "table", "tokenizer_path", "write_once"]
+__all__ = ["column", "hashed_sample", "only", "secret_of", "table", "tokenizer_path", "write_once"]
 
 # Names the setting that holds the key of pseudonyms; a real run sets its own.
 SECRET_SETTING, SECRET = "spark.storelens.pii.secret", "change me"
@@ -25,6 +25,18 @@ def only(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[column(n) for n in names])
 
 
+def hashed_sample(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``df``, those with the smallest hashes of ``keys``.
+
+    Rows far beyond the bound are passed over where they are read, so that what meets in the one task
+    that sorts is about the bound itself, not the bound times the number of tasks.
+    """
+    share = min(1.0, (1.5 * rows + 1000) / max(df.count(), 1))
+    hashed = F.xxhash64(*[column(k) for k in keys])
+    near = df.where(F.pmod(F.xxhash64(hashed), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return near.orderBy(hashed, *[column(c) for c in df.columns]).limit(rows)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.shared import column, only, write_once
+from storelens.llm.shared import column, hashed_sample, only, write_once
 
 # Bound of the sample that the model is fitted on, for each label.
 MOST_ROWS = 4000
@@ -117,7 +117,7 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 def labelled_sample(docs: DataFrame, rows: DataFrame, most_rows: int = MOST_ROWS) -> DataFrame:
     """``toxic, text`` of at most ``most_rows`` labelled rows of each label."""
-    chosen = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows) for y in (0, 1)]
+    chosen = [hashed_sample(rows.where(F.col("toxic") == y), ["doc_id"], most_rows) for y in (0, 1)]
     # The sample's bound, twice MOST_ROWS ids, is what allows the broadcast: no text is shuffled.
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))
     return only(docs, ["doc_id", "text"]).join(sample, "doc_id").select("toxic", F.coalesce("text", F.lit("")).alias("text"))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.shared import only, write_once
+from storelens.llm.shared import hashed_sample, only, write_once
 
 BLOCK, ALLOW = "block", "allow"
 # The rule list: verdict, and host with path; a rule fits the host and its subdomains.
@@ -73,7 +73,7 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     Mines at most ``most_rows`` labelled URLs, by hash. ``index`` is the rule's rarest token. At most
     ``MOST_RULES`` of the most confident rules stay: the bound of the model.
     """
-    rows = only(labelled, ["url", "verdict"]).where("url is not null and verdict is not null").orderBy(F.xxhash64("url"), "verdict").limit(most_rows)
+    rows = hashed_sample(only(labelled, ["url", "verdict"]).where("url is not null and verdict is not null"), ["url"], most_rows)
     from pyspark.ml.fpm import FPGrowth
 
     label = F.concat(F.lit("="), F.col("verdict"))

@@ -824,3 +824,10 @@ from fact_orders""",
 _quality_bodies()
 # The same question with the rank search made to narrow.
 BODIES["w1_customer_tiles_narrowed"] = BODIES["w1_customer_tiles"]
+# What was written and read back answers as the tables themselves.
+BODIES["csv_late_drivers"] = BODIES["q10_late_drivers"]
+BODIES["json_executive_kpis"] = BODIES["executive_kpis"]
+BODIES["warehouse_counts"] = (
+    "table_name rows:i",
+    "\nunion all ".join(f"select '{t}' as table_name, count(*) as rows from {t}" for t in ("dim_customers", "dim_stores", "dim_products", "fact_orders")),
+)

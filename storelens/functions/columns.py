@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MONEY = "decimal(21,2)"
 
 LATE_AFTER_MINUTES = 35
+# The four service groups.
 ON_TIME, LATE, REFUNDED, CANCELLED = "On time (<=35m)", "Late (>35m)", "Refunded", "Cancelled"
 
 

@@ -21,6 +21,7 @@ ROWS = "*"
 # RFM score bands (right-closed upper ends) and the order of service groups in charts.
 RFM_BANDS = ((5, "At Risk"), (8, "Needs Attention"), (11, "Loyal"), (15, "Champions"))
 SERVICE_ORDER = (ON_TIME, LATE, REFUNDED, CANCELLED)
+# The two decisions the memo states.
 LAUNCH, HOLD = "launch the treatment with monitoring", "do not launch the treatment yet"
 
 

@@ -12,6 +12,7 @@ from storelens.session import write_once
 from storelens.sources.schemas import TABLES
 from storelens.sources.star import Star, TableStar, require_unique
 
+# Names of the published marts.
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "order_economics": views.order_economics_mart,
     "store_kpis": marts.store_kpis,

@@ -7,13 +7,17 @@ Jaccard similarity of the sets.
 
 1. One pass over the texts makes sketches and a digest of the set. Texts with one digest are a class;
    from here on only one row per class counts, so thousands of copies cost one row.
-2. Classes that agree in all eight registers of one of 48 bands are candidates. At similarity 0.85 a
-   pair is missed by all bands with probability 3e-7. Each bucket hangs its members on its smallest
+2. Classes that agree in all registers of a band are candidates: 48 bands of eight registers at a
+   threshold of 0.85, 64 of six at 0.8, so that a pair at the threshold shares no band at most once in
+   a million. Each bucket hangs its members on its smallest
    one; the components of these links are clusters.
-3. Inside a cluster the pairs are compared in blocks of bounded weight. A pair already connected is
+3. Inside a cluster pairs are compared in groups of bounded weight. A pair already connected is
    skipped; for the others the closed-form likelihood estimate of the similarity from both sketches
    and both set sizes sifts (six standard errors below the threshold), and the full sets decide.
-   A block hands out a spanning forest of its links, at most one row per member, never all pairs.
+   A group hands out a spanning forest of its links, at most one row per member, never all pairs.
+   A cluster of ordinary weight is one group. A heavier one is cut at random into blocks: first each
+   block meets itself and the first block, whose members serve as hubs; then the members that are not
+   in the cluster's largest component so far meet all other blocks. No pair that may be a link is left out.
 4. The components of the links give each class, and so each document, its smallest reachable id.
 """
 
@@ -32,8 +36,9 @@ from storelens.llm.shared import column, only, write_once
 from storelens.llm.words import NOT_BLANK, U64, Words, constants, gram_hashes, mix, slices, text_bytes
 
 SHINGLE = 5
-BAND, BANDS = 8, 48
-REGISTERS = BAND * BANDS
+REGISTERS = 384
+# Registers per band that may be taken, and how often a pair at the threshold may share no band.
+BAND_ROWS, MISSED = (8, 6, 4), 1e-6
 # Base, rate and largest value of the registers: two bytes each, base close to one.
 SKETCH_BASE, SKETCH_RATE, SKETCH_TOP = 1.001, 20.0, 65535
 # A block of a cluster holds about so many shingles, a member counting as MEMBER more.
@@ -41,7 +46,8 @@ BLOCK, MEMBER = 300_000, 200
 
 _FACTORS = (constants(REGISTERS, 404) >> U64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (constants(REGISTERS, 505) >> U64(32)).astype(np.uint32)
-_BAND_SALTS = constants(BANDS, 606)
+_BAND_FACTORS = constants(max(BAND_ROWS), 606)
+_BAND_SALTS = constants(REGISTERS, 707)
 
 
 def shingle_sets(words: Words) -> list[np.ndarray]:
@@ -74,9 +80,19 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return registers
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    halves = np.ascontiguousarray(registers).view(U64).reshape(len(registers), BANDS, BAND // 4)
-    return mix(mix(halves[:, :, 0] ^ _BAND_SALTS) + halves[:, :, 1])
+def rows_per_band(percent: int) -> int:
+    """The longest band with which a pair at the threshold is missed by all bands at most once in a million."""
+    chance = percent / 100
+    return next((r for r in BAND_ROWS if (1 - chance ** r) ** (REGISTERS // r) <= MISSED), BAND_ROWS[-1])
+
+
+def band_keys(registers: np.ndarray, rows: int) -> np.ndarray:
+    """One hash per text and band of ``rows`` registers."""
+    parts = registers.reshape(len(registers), REGISTERS // rows, rows).astype(U64)
+    total = np.broadcast_to(_BAND_SALTS[:REGISTERS // rows], parts.shape[:2]).copy()
+    for k in range(rows):
+        total = mix(total + parts[:, :, k] * _BAND_FACTORS[k])
+    return total
 
 
 def joint_estimate(equal, above, below, u, v):
@@ -91,28 +107,34 @@ def joint_estimate(equal, above, below, u, v):
     return (linear - np.sqrt(rest)) / (2 * square)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = text_bytes(batch.column(1))
-        sizes, digests, bands = [], [], []
-        for lo, hi in slices(offsets):
-            at = offsets[lo:hi + 1]
-            sets = shingle_sets(Words(data[at[0]:at[-1]], at - at[0], NOT_BLANK, lower=True))
-            sizes += [len(s) for s in sets]
-            # Sums over the set, so neither order nor repetition counts.
-            digests += [(int(mix(s ^ U64(7)).sum()), int(mix(s ^ U64(11)).sum())) for s in sets]
-            keys = band_keys(sketches(sets)).view(np.int64)
-            bands += [k if len(s) else None for k, s in zip(keys, sets)]
-        digests = np.array(digests, U64).reshape(-1, 2).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
-             pa.array(bands, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "hi", "lo", "bands"],
-        )
-
-
-def _linked(ids: np.ndarray, side: np.ndarray, texts: pa.Array, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among these members; with two sides, of those across."""
+def _sketch(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            sizes, digests, bands = [], [], []
+            for lo, hi in slices(offsets):
+                at = offsets[lo:hi + 1]
+                sets = shingle_sets(Words(data[at[0]:at[-1]], at - at[0], NOT_BLANK, lower=True))
+                sizes += [len(s) for s in sets]
+                # Sums over the set, so neither order nor repetition counts.
+                digests += [(int(mix(s ^ U64(7)).sum()), int(mix(s ^ U64(11)).sum())) for s in sets]
+                keys = band_keys(sketches(sets), rows).view(np.int64)
+                bands += [k if len(s) else None for k, s in zip(keys, sets)]
+            digests = np.array(digests, U64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1]),
+                 pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "hi", "lo", "bands"],
+            )
+
+    return run
+
+
+def _linked(ids: np.ndarray, side: np.ndarray, label: np.ndarray, texts: pa.ChunkedArray, percent: int, across: bool) -> list[tuple[int, int]]:
+    """A spanning forest of the links among these members; equal labels are connected already.
+
+    With ``across`` only the two sides meet; else all pairs but those within side 0 beside a side 1.
+    """
     data, offsets = text_bytes(texts)
     sets: list[np.ndarray] = []
     for lo, hi in slices(offsets):
@@ -125,14 +147,16 @@ def _linked(ids: np.ndarray, side: np.ndarray, texts: pa.Array, percent: int) ->
     threshold = percent / 100
     floor = threshold - 6 * np.sqrt(threshold * (1 - threshold) / REGISTERS)
     mask = np.zeros(len(known), bool)
-    group = np.arange(len(ids))
-    across = side.min() != side.max()
+    group = label.copy()
+    hubs_met = side.max() == 1
     links = []
     for i in range(len(ids)):
         others = np.arange(i + 1, len(ids))
         keep = group[others] != group[i]
         if across:
             keep &= side[others] != side[i]
+        elif hubs_met and side[i] == 0:
+            keep &= side[others] == 1
         keep &= 100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i])
         others = others[keep]
         if not len(others):
@@ -156,19 +180,18 @@ def _linked(ids: np.ndarray, side: np.ndarray, texts: pa.Array, percent: int) ->
     return links
 
 
-def _verify(percent: int):
+def _verify(percent: int, across: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by block; a block is gathered across batches and compared as a whole."""
+        """Rows come sorted by group; a group is gathered across batches and compared as a whole."""
         current, held = None, []
 
         def flush():
             if not held:
                 return []
-            ids = np.concatenate([h[0] for h in held])
+            ids, side, label = (np.concatenate([h[k] for h in held]) for k in range(3))
             if len(ids) < 2:
                 return []
-            texts = pa.chunked_array([h[2] for h in held])
-            return _linked(ids, np.concatenate([h[1] for h in held]), texts, percent)
+            return _linked(ids, side, label, pa.chunked_array([h[3] for h in held]), percent, across)
 
         def made(links):
             return pa.RecordBatch.from_arrays(
@@ -176,37 +199,58 @@ def _verify(percent: int):
             )
 
         for batch in batches:
-            keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)], axis=1)
-            ids = batch.column(3).to_numpy(zero_copy_only=False)
-            side = batch.column(4).to_numpy(zero_copy_only=False)
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+            keys = np.stack(columns[:3], axis=1)
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             found = []
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
                 if b == a:
                     continue
                 if current != tuple(keys[a].tolist()):
                     found += flush()
                     current, held = tuple(keys[a].tolist()), []
-                held.append((ids[a:b], side[a:b], batch.column(5).slice(a, b - a)))
+                held.append((columns[3][a:b], columns[4][a:b], columns[5][a:b], batch.column(6).slice(a, b - a)))
             yield made(found)
         yield made(flush())
 
     return run
 
 
-def _blocks(clusters: DataFrame) -> DataFrame:
-    """``cluster, x, y, node, side``: members of a cluster by the pair of blocks they are compared in.
-
-    A cluster of ordinary weight is one block. A heavier one is cut at random into blocks of that
-    weight, and every two of them meet in a group of their own; members alone are repeated, not pairs.
-    """
-    weights = clusters.groupBy("cluster").agg(F.ceil(F.sum(F.col("n_shingles") + MEMBER) / BLOCK).cast("int").alias("parts"))
-    cut = clusters.join(weights, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    meets = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    return cut.select("cluster", "node", "part", meets.alias("other")).select(
-        "cluster", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "node",
-        (F.col("part") > F.col("other")).cast("int").alias("side"),
+def _compared(groups: DataFrame, texts: DataFrame, percent: int, across: bool) -> DataFrame:
+    """``a, b``: the links found in ``groups(cluster, x, y, node, side, label)``; members alone travel, not pairs."""
+    rows = groups.join(texts, "node").select("cluster", "x", "y", "node", F.col("side").cast("long").alias("side"), "label", "text")
+    key = ["cluster", "x", "y"]
+    sorted_rows = rows.repartition(*key).sortWithinPartitions(*key, "side", "node")
+    return write_once(sorted_rows.mapInArrow(_verify(percent, across), "a long, b long"), "near-links")
+
+
+def _links(clusters: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links that connect all linked members of ``clusters(cluster, node, n_shingles)``."""
+    weight = F.col("n_shingles") + MEMBER
+    parts = clusters.groupBy("cluster").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("parts"))
+    cut = write_once(clusters.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "cut")
+    # The first block meets every block; another one meets itself and the first.
+    meets = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
+    first = cut.select("cluster", F.lit(0).alias("x"), F.explode(meets).alias("y"), "node", (F.col("part") > 0).cast("long").alias("side"),
+                       F.col("node").alias("label"))
+    links = _compared(first, texts, percent, across=False)
+    heavy = cut.where("parts > 2")
+    if heavy.isEmpty():
+        return links
+    # What is not in the largest component of a heavy cluster meets the blocks it has not met.
+    labelled = write_once(
+        heavy.join(components(links, "a", "b"), "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"), "labelled"
     )
+    largest = labelled.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(
+        F.max_by("label", F.struct("n", "label")).alias("largest"))
+    outside = labelled.join(largest, "cluster").where("label <> largest").drop("largest")
+    spread = outside.groupBy("cluster").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("shares"))
+    askers = outside.join(spread, "cluster").select(
+        "cluster", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shares")).cast("int").alias("x"),
+        F.explode(F.sequence(F.lit(1), F.col("parts") - 1)).alias("y"), "node", F.lit(0).cast("long").alias("side"), "label")
+    asked = labelled.where("part > 0").join(spread, "cluster").select(
+        "cluster", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("x"), F.col("part").alias("y"), "node", F.lit(1).cast("long").alias("side"), "label")
+    return links.unionByName(_compared(askers.unionByName(asked), texts, percent, across=True))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -220,7 +264,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
     """
     texts = only(docs, [id_column, text_column]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sketched = write_once(
-        texts.mapInArrow(_sketch, "doc_id long, n_shingles long, hi long, lo long, bands array<long>"), "sketches"
+        texts.mapInArrow(_sketch(rows_per_band(percent)), "doc_id long, n_shingles long, hi long, lo long, bands array<long>"), "sketches"
     )
     some = sketched.where("n_shingles > 0 and doc_id is not null")
     classes = write_once(
@@ -237,11 +281,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
     clusters = write_once(classes.select("node", "n_shingles").join(clusters, "node"), "clusters")
     members = clusters.select(F.xxhash64("node").alias("hash"))
     near_texts = sift(texts.where("doc_id is not null"), F.xxhash64("doc_id"), members, "hash").withColumnRenamed("doc_id", "node")
-    wanted = _blocks(clusters).join(near_texts, "node").select("cluster", "x", "y", "node", "side", "text")
-    links = (
-        wanted.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "node")
-        .mapInArrow(_verify(percent), "a long, b long")
-    )
+    links = _links(clusters, near_texts, percent)
     found = components(links, "a", "b")
     root = classes.join(found, "node", "left").select("hi", "lo", F.coalesce("root", "node").alias("root"))
     lone = F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col("doc_id"))
@@ -252,7 +292,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
     )
 
 
-def one_of_each(docs: DataFrame, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each component, all columns kept.
 
     The document with the component's id stays; rows that share an id are one document, so of those one

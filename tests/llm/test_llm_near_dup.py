@@ -67,13 +67,13 @@ def test_components_equal_brute_force(spark):
     assert sorted(result) == sorted((i, size[i], root[i], i == root[i]) for i in root)
 
 
-@pytest.mark.parametrize("block", [near_dup.BLOCK, 20_000])
-def test_similarities_around_the_limit_also_over_several_blocks(spark, edits, monkeypatch, block):
+@pytest.mark.parametrize("block,percent", [(near_dup.BLOCK, 85), (45_000, 85), (20_000, 80), (5_000, 85)])
+def test_similarities_around_the_limit_also_over_several_blocks(spark, edits, monkeypatch, block, percent):
     monkeypatch.setattr(near_dup, "BLOCK", block)
-    root, _ = brute_force(edits)
-    result = {r[0]: r[2] for r in got(near_dup.near_duplicates(spark.createDataFrame(edits, "doc_id long, text string")))}
+    root, _ = brute_force(edits, percent)
+    result = {r[0]: r[2] for r in got(near_dup.near_duplicates(spark.createDataFrame(edits, "doc_id long, text string"), percent))}
     assert result == root
-    assert len(set(root.values())) > 60
+    assert len(set(root.values())) > 55
 
 
 def test_corner_rows(spark):
@@ -109,3 +109,7 @@ def test_components_of_chains_stars_and_loops(spark):
     links = [(k + 1, k) for k in range(100, 160)] + [(5, k) for k in range(6, 40)] + [(70, 71), (71, 72), (72, 70), (90, 90), (None, 3)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
     assert found == {**{k: 100 for k in range(100, 161)}, **{k: 5 for k in range(5, 40)}, 70: 70, 71: 70, 72: 70}
+
+
+def test_bands_follow_the_threshold():
+    assert [near_dup.rows_per_band(p) for p in (95, 85, 80, 70)] == [8, 8, 6, 4]

@@ -28,7 +28,7 @@ def test_each_stage_on_what_its_predecessor_kept(spark):
     toxic = {r["doc_id"] for r in tox.toxicity(docs, lexicon).where("predicted = 1").collect()}
     assert ids[1] == ids[0] - toxic and toxic
     rows = [[(r["doc_id"], r["text"]) for r in s.collect()] for s in states[:5]]
-    roots, _ = roots_of(rows[1])
+    roots, _ = roots_of(rows[1], 80)
     assert ids[2] == set(roots.values()) and ids[2] < ids[1]
     assert ids[3] == {r[0] for r in hits_of(rows[2], items) if not r[5]} and ids[3] < ids[2]
     assert ids[4] == ids[3] and dict(rows[4]) != dict(rows[3])

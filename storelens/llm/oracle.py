@@ -114,4 +114,22 @@ select k.doc_id, k.path, k.directory, k.licence as own, round(k.similarity, 6) a
 from known k left join nearest n using (directory)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_licences": _LICENCES.replace("{most}", str(LICENCE_FILE_CHARS)), "op8_chat": _CHAT, "op9_decontam": _DECONTAM}
+_NEAR_DUP = rf"""
+with recursive texts as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') as words from documents
+), shingles as (
+    select distinct doc_id, array_to_string(list_slice(words, i, i + least(5, len(words)) - 1), ' ') as said
+    from texts, unnest(range(1, greatest(1, len(words) - 4) + 1)) as u(i) where len(words) > 0
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+links as (
+    select x, y from (
+        select a.doc_id as x, b.doc_id as y, count(*) as shared from shingles a join shingles b on a.said = b.said and a.doc_id <> b.doc_id group by all
+    ) as pairs join sizes sx on sx.doc_id = x join sizes sy on sy.doc_id = y where 100 * shared >= 85 * (sx.n + sy.n - shared)
+), reached(doc_id, other) as (
+    select doc_id, doc_id from texts union select r.doc_id, l.y from reached r join links l on l.x = r.other
+), roots as (select doc_id, min(other) as component_id from reached group by doc_id)
+select t.doc_id, coalesce(n, 0) as n_shingles, component_id, t.doc_id = component_id as kept
+from texts t left join sizes using (doc_id) join roots using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_licences": _LICENCES.replace("{most}", str(LICENCE_FILE_CHARS)), "op3_near_dup": _NEAR_DUP, "op8_chat": _CHAT, "op9_decontam": _DECONTAM}

@@ -60,14 +60,15 @@ def _digits(text: str) -> str:
     return f"transform(filter(split({text}, ''), ch -> ch between '0' and '9'), ch -> ascii(ch) - 48)"
 
 
-def _feistel(values: str, moduli: str, key: str, kind: str) -> str:
-    """``values`` permuted within ``moduli``; both are SQL for arrays of int of the same length."""
+def _feistel(values: str, moduli: str, key: str) -> str:
+    """``values`` permuted within ``moduli``; both are SQL for arrays of int of the same length. The
+    variable ``k`` in scope names the kind, so that kinds differ."""
     left = "(i < size(acc) div 2)"
     other = f"array_join(transform(filter(acc, (x, i) -> {left} = (r % 2 = 1)), x -> string(x)), ',')"
     step = "cast(conv(substring(sha2(concat(mac, ':', i), 256), 1, 12), 16, 10) as bigint)"
     changed = f"int(pmod(x + {step}, mods[i]))"
     rounds = f"""aggregate(sequence(0, {ROUNDS - 1}), transform({values}, x -> int(x)), (acc, r) -> {_let(
-        'mac', f"sha2(concat_ws('|', {key}, '{kind}', size(acc), r, {other}), 256)",
+        'mac', f"sha2(concat_ws('|', {key}, k, size(acc), r, {other}), 256)",
         f"transform(acc, (x, i) -> case when {left} = (r % 2 = 0) and mods[i] > 1 then {changed} else x end)")})"""
     return _let("mods", moduli, rounds)
 
@@ -75,18 +76,10 @@ def _feistel(values: str, moduli: str, key: str, kind: str) -> str:
 _MODULUS = "case when c between '0' and '9' then 10 when c between 'a' and 'z' or c between 'A' and 'Z' or ascii(c) > 127 then 26 else 1 end"
 _VALUE = ("case when c between '0' and '9' then ascii(c) - 48 when c between 'a' and 'z' then ascii(c) - 97 "
           "when c between 'A' and 'Z' then ascii(c) - 65 when ascii(c) > 127 then ascii(c) % 26 else 0 end")
-
-
-def _spell(chars: str, values: str) -> str:
-    """Characters of the same classes as ``chars`` with new ``values``."""
-    return f"""array_join(zip_with({chars}, {values}, (c, v) -> case when c between '0' and '9' then char(48 + v)
-        when c between 'a' and 'z' or ascii(c) > 127 then char(97 + v) when c between 'A' and 'Z' then char(65 + v) else c end), '')"""
-
-
-def _refill(text: str, digits: str) -> str:
-    """``text`` with its digits replaced in turn by those of the array ``digits``."""
-    seen = "size(filter(slice(chars, 1, at + 1), ch -> ch between '0' and '9'))"
-    return _let("chars", _chars(text), f"array_join(transform(chars, (c, at) -> case when c between '0' and '9' then string({digits}[{seen} - 1]) else c end), '')")
+# A character of the class of c with the value v.
+_SPELLED = ("case when c between '0' and '9' then char(48 + v) when c between 'a' and 'z' or ascii(c) > 127 then char(97 + v) "
+            "when c between 'A' and 'Z' then char(65 + v) else c end")
+_HEX = "'0123456789abcdef'"
 
 
 def _luhn(digits: str) -> str:
@@ -100,78 +93,82 @@ def _remainder97(text: str) -> str:
     return f"aggregate({_chars(text)}, 0, (a, c) -> (a * case when c between '0' and '9' then 10 else 100 end + {number}) % 97)"
 
 
-def _card(m: str, key: str) -> str:
-    payload = _feistel("slice(ds, 1, size(ds) - 1)", "array_repeat(10, size(ds) - 1)", key, "card")
-    fixed = f"concat(body, array((10 - {_luhn('concat(body, array(0))')}) % 10))"
-    swapped = _let("body", payload, _let("made", fixed, _refill(m, "made")))
-    return _let("ds", _digits(m), f"case when {_luhn('ds')} = 0 then {swapped} else {m} end")
-
+# The steps below share these variables: m the candidate, k its kind, cs its characters, ds the digits of a
+# card, p the parts of a date, number or address, lay the layout of a date, n its year, month and day or
+# the numbers of the parts, flat an IBAN without blanks, body the characters that are permuted, q the
+# permuted values. A kind's values are an array of small numbers, each with its own modulus.
 
-def _phone(m: str, key: str) -> str:
-    country = f"length(regexp_extract({m}, '^\\\\+\\\\d{{1,3}}(?=[ .(-])|^\\\\+\\\\d{{2}}', 0))"
-    moduli = f"transform(cs, (c, i) -> case when i < {country} then 1 else {_MODULUS} end)"
-    return _let("cs", _chars(m), _spell("cs", _feistel(f"transform(cs, c -> {_VALUE})", moduli, key, "phone")))
+def _kind() -> str:
+    cases = [f"when m rlike {_text('^(?:' + PATTERNS[k] + ')$')} then '{k}'" for k in PATTERNS]
+    return "case when m rlike '^AKIA[0-9A-Z]{16}$' then 'akia' " + " ".join(cases) + " end"
 
 
-def _email(m: str, key: str) -> str:
-    kept = f"length({m}) - length(regexp_extract({m}, '\\\\.[A-Za-z]+$', 0))"
-    moduli = f"transform(cs, (c, i) -> case when i >= {kept} then 1 else {_MODULUS} end)"
-    return _let("cs", _chars(m), _spell("cs", _feistel(f"transform(cs, c -> {_VALUE})", moduli, key, "email")))
+def _numbers() -> str:
+    """Dates year first, or day first; month first where the middle part can only be a day."""
+    order = "case lay when 'ymd' then array(p[0], p[1], p[2]) when 'mdy' then array(p[2], p[0], p[1]) when 'dmy' then array(p[2], p[1], p[0]) else p end"
+    return f"transform({order}, x -> int(x))"
 
 
-def _key(m: str, key: str) -> str:
-    hexes = "'0123456789abcdef'"
-    spelled = f"array_join(transform({_feistel(f'transform(cs, c -> instr({hexes}, lower(c)) - 1)', 'array_repeat(16, size(cs))', key, 'key')}, v -> substring({hexes}, v + 1, 1)), '')"
-    moduli = f"transform(cs, (c, i) -> case when i < 4 then 1 else {_MODULUS} end)"
-    other = _spell("cs", _feistel(f"transform(cs, c -> {_VALUE})", moduli, key, "akia"))
-    return _let("cs", _chars(m), f"case when {m} like 'AKIA%' then {other} when {m} = upper({m}) then upper({spelled}) else {spelled} end")
+def _valid() -> str:
+    date = ("case when n[0] between 1900 and 2099 and n[1] between 1 and 12 and n[2] between 1 and 31 "
+            "then n[2] <= day(last_day(make_date(n[0], n[1], 1))) else false end")
+    moved = "concat(substring(flat, 5), substring(flat, 1, 4))"
+    return (f"case k when 'card' then {_luhn('ds')} = 0 when 'iban' then {_remainder97(moved)} = 1 when 'date' then {date} "
+            "when 'ssn' then n[0] between 1 and 899 and n[0] <> 666 and n[1] > 0 and n[2] > 0 when 'ip' then forall(n, o -> o < 256) else true end")
 
 
-def _ip(m: str, key: str) -> str:
-    made = _feistel("octets", "array(256, 256, 256, 256)", key, "ip")
-    return _let("octets", f"transform(split({m}, '[.]'), o -> int(o))",
-                f"case when forall(octets, o -> o < 256) then array_join(transform({made}, o -> string(o)), '.') else {m} end")
+def _values() -> str:
+    day = f"datediff(make_date(n[0], n[1], n[2]), {FIRST_DAY})"
+    area = "case when n[0] > 666 then n[0] - 2 else n[0] - 1 end"
+    return (f"case k when 'card' then slice(ds, 1, size(ds) - 1) when 'ip' then n when 'ssn' then array({area}, n[1] - 1, n[2] - 1) "
+            f"when 'date' then array(int({day} div {DAYS[1]}), {day} % {DAYS[1]}) "
+            f"when 'key' then transform(cs, c -> instr({_HEX}, lower(c)) - 1) else transform(body, c -> {_VALUE}) end")
 
 
-def _ssn(m: str, key: str) -> str:
-    area = "case when p[0] > 666 then p[0] - 2 else p[0] - 1 end"
-    made = _feistel(f"array({area}, p[1] - 1, p[2] - 1)", "array(898, 99, 9999)", key, "ssn")
-    spelled = "concat_ws('-', lpad(case when q[0] >= 665 then q[0] + 2 else q[0] + 1 end, 3, '0'), lpad(q[1] + 1, 2, '0'), lpad(q[2] + 1, 4, '0'))"
-    valid = "p[0] between 1 and 899 and p[0] <> 666 and p[1] > 0 and p[2] > 0"
-    return _let("p", f"transform(split({m}, '-'), o -> int(o))", f"case when {valid} then {_let('q', made, spelled)} else {m} end")
+def _moduli() -> str:
+    """The country code of a phone number, the last label of an address and a key's prefix stay."""
+    first = r"case k when 'phone' then length(regexp_extract(m, '^\\+\\d{1,3}(?=[ .(-])|^\\+\\d{2}', 0)) when 'akia' then 4 else 0 end"
+    last = r"case when k = 'email' then size(body) - length(regexp_extract(m, '\\.[A-Za-z]+$', 0)) else size(body) end"
+    return (f"case k when 'card' then array_repeat(10, size(ds) - 1) when 'ip' then array(256, 256, 256, 256) when 'ssn' then array(898, 99, 9999) "
+            f"when 'date' then array({DAYS[0]}, {DAYS[1]}) when 'key' then array_repeat(16, size(cs)) "
+            f"else transform(body, (c, i) -> case when i < {first} or i >= {last} then 1 else {_MODULUS} end) end")
 
 
-def _date(m: str, key: str) -> str:
-    """Year first, or day first; month first where the middle part can only be a day."""
-    parts = f"split({m}, '[-/.]')"
-    order = f"case when {m} like '____-%' then 'ymd' when int(p[1]) > 12 then 'mdy' else 'dmy' end"
-    read = ("case lay when 'ymd' then array(int(p[0]), int(p[1]), int(p[2])) when 'mdy' then array(int(p[2]), int(p[0]), int(p[1])) "
-            "else array(int(p[2]), int(p[1]), int(p[0])) end")
-    number = f"datediff(make_date(n[0], n[1], n[2]), {FIRST_DAY})"
-    made = _feistel(f"array({number} div {DAYS[1]}, {number} % {DAYS[1]})", f"array({DAYS[0]}, {DAYS[1]})", key, "date")
+def _spelling() -> str:
+    card = _let("made", f"concat(q, array((10 - {_luhn('concat(q, array(0))')}) % 10))",
+                "array_join(transform(cs, (c, at) -> case when c between '0' and '9' "
+                "then string(made[size(filter(slice(cs, 1, at + 1), ch -> ch between '0' and '9')) - 1]) else c end), '')")
+    ssn = "concat_ws('-', lpad(case when q[0] >= 665 then q[0] + 2 else q[0] + 1 end, 3, '0'), lpad(q[1] + 1, 2, '0'), lpad(q[2] + 1, 4, '0'))"
+    hexes = f"array_join(transform(q, v -> substring({_HEX}, v + 1, 1)), '')"
     part = lambda value, i: f"lpad(string({value}), greatest(length(p[{i}]), length(string({value}))), '0')"
-    sep = f"regexp_extract({m}, '[-/.]', 0)"
-    spelled = (f"case lay when 'ymd' then date_format(day, 'yyyy-MM-dd') "
-               f"when 'mdy' then concat_ws({sep}, {part('month(day)', 0)}, {part('day(day)', 1)}, string(year(day))) "
-               f"else concat_ws({sep}, {part('day(day)', 0)}, {part('month(day)', 1)}, string(year(day))) end")
-    swapped = _let("q", made, _let("day", f"date_add({FIRST_DAY}, q[0] * {DAYS[1]} + q[1])", spelled))
-    valid = ("case when n[0] between 1900 and 2099 and n[1] between 1 and 12 and n[2] between 1 and 31 "
-             "then n[2] <= day(last_day(make_date(n[0], n[1], 1))) else false end")
-    return _let("p", parts, _let("lay", order, _let("n", read, f"case when {valid} then {swapped} else {m} end")))
-
-
-def _iban(m: str, key: str) -> str:
-    plain = f"replace({m}, ' ', '')"
-    body = _let("cs", _chars("substring(flat, 5)"), _spell("cs", _feistel(f"transform(cs, c -> {_VALUE})", f"transform(cs, c -> {_MODULUS})", key, "iban")))
-    check = f"lpad(string(98 - {_remainder97('concat(bban, substring(flat, 1, 2), ' + _text('00') + ')')}), 2, '0')"
-    whole = _let("bban", body, f"concat(substring(flat, 1, 2), {check}, bban)")
-    seen = "size(filter(slice(chars, 1, at + 1), ch -> ch <> ' '))"
-    spaced = _let("made", whole, _let("chars", _chars(m), f"array_join(transform(chars, (c, at) -> case when c = ' ' then c else substring(made, {seen}, 1) end), '')"))
-    moved = "concat(substring(flat, 5), substring(flat, 1, 4))"
-    return _let("flat", plain, f"case when {_remainder97(moved)} = 1 then {spaced} else {m} end")
-
-
-_MAKERS = {"email": _email, "iban": _iban, "key": _key, "phone": _phone, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card}
+    sep = "regexp_extract(m, '[-/.]', 0)"
+    date = _let("made", f"date_add({FIRST_DAY}, q[0] * {DAYS[1]} + q[1])",
+                f"case lay when 'ymd' then date_format(made, 'yyyy-MM-dd') "
+                f"when 'mdy' then concat_ws({sep}, {part('month(made)', 0)}, {part('day(made)', 1)}, string(year(made))) "
+                f"else concat_ws({sep}, {part('day(made)', 0)}, {part('month(made)', 1)}, string(year(made))) end")
+    plain = f"array_join(zip_with(body, q, (c, v) -> {_SPELLED}), '')"
+    check = f"lpad(string(98 - {_remainder97('concat(plain, substring(flat, 1, 2), ' + _text('00') + ')')}), 2, '0')"
+    iban = _let("made", f"concat(substring(flat, 1, 2), {check}, plain)",
+                "array_join(transform(cs, (c, at) -> case when c = ' ' then c else substring(made, size(filter(slice(cs, 1, at + 1), ch -> ch <> ' ')), 1) end), '')")
+    other = f"case when k = 'iban' then {iban} else plain end"
+    return (f"case k when 'card' then {card} when 'ip' then array_join(transform(q, o -> string(o)), '.') when 'ssn' then {ssn} "
+            f"when 'date' then {date} when 'key' then case when m = upper(m) then upper({hexes}) else {hexes} end else {_let('plain', plain, other)} end")
+
+
+def _pseudonym(key: str) -> str:
+    """SQL for the pseudonym of the variable ``m``, or ``m`` itself where it fails its check."""
+    layout = "case when k = 'date' then case when m like '____-%' then 'ymd' when int(p[1]) > 12 then 'mdy' else 'dmy' end end"
+    body = "case when k = 'iban' then slice(filter(cs, ch -> ch <> ' '), 5, size(cs)) else cs end"
+    made = _let("body", body, _let("q", _feistel(_values(), _moduli(), key), _spelling()))
+    steps = [
+        ("k", _kind()), ("cs", _chars("m")), ("ds", f"case when k = 'card' then {_digits('m')} end"),
+        ("p", "case when k in ('date', 'ssn', 'ip') then split(m, '[-/.]') end"), ("lay", layout), ("n", _numbers()),
+        ("flat", "case when k = 'iban' then replace(m, ' ', '') end"),
+    ]
+    whole = f"case when {_valid()} then {made} else m end"
+    for name, value in reversed(steps):
+        whole = _let(name, value, whole)
+    return whole
 
 
 def pseudonyms(text_column: str, secret: str) -> Column:
@@ -181,8 +178,7 @@ def pseudonyms(text_column: str, secret: str) -> Column:
     stay as they are.
     """
     key = _text(secret)
-    cases = " ".join(f"when m rlike {_text('^(?:' + PATTERNS[k] + ')$')} then {make('m', key)}" for k, make in _MAKERS.items())
-    swapped = f"transform(ms, m -> case {cases} else m end)"
+    swapped = f"transform(ms, m -> {_pseudonym(key)})"
     pieces = f"split(t, {_text(ANY)}, -1)"
     joined = "concat(element_at(ps, 1), array_join(zip_with(ss, slice(ps, 2, size(ss)), (s, p) -> concat(s, p)), ''))"
     made = _let("ss", swapped, _let("ps", pieces, f"named_struct('text', {joined}, 'found', size(filter(zip_with(ms, ss, (a, b) -> a <> b), x -> x)))"))

@@ -10,9 +10,9 @@ from storelens.llm.shared import write_once
 
 def _is_star(links: DataFrame) -> bool:
     """Whether every node hangs on one root and no root hangs on anything."""
-    twice = links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
-    inner = links.select(F.col("v").alias("u")).join(links.select("u"), "u", "left_semi")
-    return twice.unionByName(inner).isEmpty()
+    ends = links.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs")), F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs")))).alias("e"))
+    nodes = ends.select("e.*").groupBy("node").agg(F.sum("hangs").alias("hangs"), F.count("*").alias("ends"))
+    return nodes.where("hangs > 1 or (hangs = 1 and ends > 1)").isEmpty()
 
 
 def components(links: DataFrame, src: str, dst: str) -> DataFrame:
@@ -28,14 +28,15 @@ def components(links: DataFrame, src: str, dst: str) -> DataFrame:
     table = write_once(
         links.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links"
     )
-    while not _is_star(table):
+    while True:
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = write_once(large, "links")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         table = write_once(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
+        if _is_star(table):
+            break
     roots = table.select("v").distinct()
     return table.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select(F.col("v").alias("node"), F.col("v").alias("root"))

@@ -53,13 +53,16 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+def labelled_urls(spark: SparkSession, folder: str) -> DataFrame:
     """Labels belong to documents, whose id a page's URL ends in; bad or toxic ones are examples of what to block."""
-    pages = table(spark, folder, "pages").select("page_id", "url")
+    pages = table(spark, folder, "pages").select("url")
     known = table(spark, folder, "labels").select("doc_id", F.when((F.col("quality") == 0) | (F.col("toxic") == 1), BLOCK).otherwise(ALLOW).alias("verdict"))
     named = F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})(?:[.]html)?/?$", 1)
-    labelled = pages.where(named != "").select("url", named.cast("long").alias("doc_id")).join(known, "doc_id").select("url", "verdict")
-    return judge_urls(pages, labelled)
+    return pages.where(named != "").select("url", named.cast("long").alias("doc_id")).join(known, "doc_id").select("url", "verdict")
+
+
+def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"), labelled_urls(spark, folder))
 
 
 def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,8 +19,8 @@ from storelens.llm.shared import hashed_sample, only, write_once
 BLOCK, ALLOW = "block", "allow"
 # The rule list: verdict, and host with path; a rule fits the host and its subdomains.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-# Bound of the sample of labelled URLs that FP-growth mines, and of the rules kept.
-MOST_ROWS, MOST_RULES = 50_000, 1000
+# Bound of the sample of labelled URLs that FP-growth mines.
+MOST_ROWS = 50_000
 SUPPORT, CONFIDENCE = 0.002, 0.6
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -70,8 +70,8 @@ def listed(urls: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most_rows: int = MOST_ROWS) -> DataFrame:
     """``verdict, tokens, index, confidence, support`` of the rules in ``labelled(url, verdict)``.
 
-    Mines at most ``most_rows`` labelled URLs, by hash. ``index`` is the rule's rarest token. At most
-    ``MOST_RULES`` of the most confident rules stay: the bound of the model.
+    Mines at most ``most_rows`` labelled URLs, by hash. ``index`` is the rule's rarest token. All rules
+    with enough support and confidence stay, unless one with fewer of their tokens covers them.
     """
     rows = hashed_sample(only(labelled, ["url", "verdict"]).where("url is not null and verdict is not null"), ["url"], most_rows)
     from pyspark.ml.fpm import FPGrowth
@@ -83,17 +83,16 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = model.associationRules.where(F.element_at("consequent", 1).startswith("=")).where("not exists(antecedent, x -> startswith(x, '='))")
     found = write_once(found.where("lift > 1").select(
-        F.expr("substring(consequent[0], 2)").alias("verdict"), F.sort_array("antecedent").alias("tokens"), "confidence", "support"
-    ).orderBy(F.desc("confidence"), F.desc("support"), F.size("tokens"), "tokens").limit(MOST_RULES), "url-rules")
-    # A rule goes if part of its tokens says the same with no less confidence.
-    a, b = found.alias("a"), found.alias("b")
-    covered = a.join(b, (F.col("a.verdict") == F.col("b.verdict")) & (F.size("b.tokens") < F.size("a.tokens")) & (F.col("b.confidence") >= F.col("a.confidence"))
-                     & (F.size(F.array_except("b.tokens", "a.tokens")) == 0), "left_semi")
-    kept = found.join(covered.select("verdict", "tokens"), ["verdict", "tokens"], "left_anti")
+        F.expr("substring(consequent[0], 2)").alias("verdict"), F.sort_array("antecedent").alias("tokens"), "confidence", "support"), "url-rules")
     single = model.freqItemsets.where("size(items) = 1").select(F.col("items")[0].alias("token"), "freq")
-    rarest = kept.select("verdict", "tokens", F.explode("tokens").alias("token")).join(single, "token").groupBy("verdict", "tokens").agg(
+    rarest = found.select("verdict", "tokens", F.explode("tokens").alias("token")).join(single, "token").groupBy("verdict", "tokens").agg(
         F.min_by("token", F.struct("freq", "token")).alias("index"))
-    return write_once(kept.join(rarest, ["verdict", "tokens"]).select("verdict", "tokens", "index", "confidence", "support"), "url-model")
+    filed = write_once(found.join(rarest, ["verdict", "tokens"]).select("verdict", "tokens", "index", "confidence", "support"), "url-filed-rules")
+    # A rule goes if part of its tokens says the same with no less confidence; such a part is filed under one of its tokens.
+    a, b = filed.withColumn("token", F.explode("tokens")).alias("a"), filed.alias("b")
+    covered = a.join(b, (F.col("a.token") == F.col("b.index")) & (F.col("a.verdict") == F.col("b.verdict")) & (F.size("b.tokens") < F.size("a.tokens"))
+                     & (F.col("b.confidence") >= F.col("a.confidence")) & (F.size(F.array_except("b.tokens", "a.tokens")) == 0), "left_semi")
+    return write_once(filed.join(covered.select("verdict", "tokens").distinct(), ["verdict", "tokens"], "left_anti"), "url-model")
 
 
 def matched(urls: DataFrame, model: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Personal data under format-preserving Feistel pseudonyms, in Spark SQL expressions only.
 
-A text is searched once for things that look like personal data; what proves valid (checksum, calendar,
-number range) is replaced by a value of the same format, which is valid again:
+A text is searched, from every place on, for things that look like personal data; the first from the left that
+prove valid (checksum, calendar, number range) are replaced by values of the same format, which are valid again.
+What fails its check hides nothing that starts inside it:
 
 - card numbers keep length, separators and a right Luhn digit, IBANs their country and check digits
 - dates stay dates of 1900-2099 in their own layout, US social security numbers stay assignable
@@ -23,15 +24,28 @@ from storelens.llm.shared import column
 
 ROUNDS = 8
 
+# The lengths of IBANs by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+# Groups of four, or no blanks; what fits no length above may have any.
+_IBANS = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+# Four groups of a card number: a phone number before them ends there.
+_CARD = r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d"
+
 # The forms of personal data, as Java patterns.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,8}\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS}|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])",
     "phone": r"(?:(?<![\d+])\+?\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
              r"|(?<![\d+])\+\d{8,15}(?!\d)"
-             r"|(?<![\d+])\+\d{1,3}[ -]\d{2,4}[ -]\d{3,8}(?:[ -]\d{2,4})?(?!\d)"
-             r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+             rf"|(?<![\d+])\+\d{{1,3}}(?=[ .-])(?:(?:[ .-](?!{_CARD}))?\d){{7,12}}(?!\d)"
+             rf"|(?<![\d+])\+\d{{1,3}}[ -]\d{{2,4}}[ -]\d{{3,8}}(?:[ -](?!{_CARD})\d{{2,4}})?(?!\d)"
+             r"|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+             rf"|(?<![\d.-])[2-9]\d{{2}} (?!{_CARD})[2-9]\d{{2}}[ -](?!{_CARD})\d{{4}}(?![\d-])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])(?!\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d)(?!\.\d)",
@@ -156,7 +170,7 @@ def _spelling() -> str:
 
 
 def _pseudonym(key: str) -> str:
-    """SQL for the pseudonym of the variable ``m``, or ``m`` itself where it fails its check."""
+    """SQL for the pseudonym of the variable ``m``, null where it fails its check."""
     layout = "case when k = 'date' then case when m like '____-%' then 'ymd' when int(p[1]) > 12 then 'mdy' else 'dmy' end end"
     body = "case when k = 'iban' then slice(filter(cs, ch -> ch <> ' '), 5, size(cs)) else cs end"
     made = _let("body", body, _let("q", _feistel(_values(), _moduli(), key), _spelling()))
@@ -165,7 +179,7 @@ def _pseudonym(key: str) -> str:
         ("p", "case when k in ('date', 'ssn', 'ip') then split(m, '[-/.]') end"), ("lay", layout), ("n", _numbers()),
         ("flat", "case when k = 'iban' then replace(m, ' ', '') end"),
     ]
-    whole = f"case when {_valid()} then {made} else m end"
+    whole = f"case when {_valid()} then {made} end"
     for name, value in reversed(steps):
         whole = _let(name, value, whole)
     return whole
@@ -178,11 +192,21 @@ def pseudonyms(text_column: str, secret: str) -> Column:
     stay as they are.
     """
     key = _text(secret)
-    swapped = f"transform(ms, m -> {_pseudonym(key)})"
-    pieces = f"split(t, {_text(ANY)}, -1)"
-    joined = "concat(element_at(ps, 1), array_join(zip_with(ss, slice(ps, 2, size(ss)), (s, p) -> concat(s, p)), ''))"
-    made = _let("ss", swapped, _let("ps", pieces, f"named_struct('text', {joined}, 'found', size(filter(zip_with(ms, ss, (a, b) -> a <> b), x -> x)))"))
-    found = _let("ms", f"regexp_extract_all(t, {_text(ANY)}, 0)", f"case when size(ms) > 0 then {made} else named_struct('text', t, 'found', 0) end")
+    # Candidates start where the pieces do, and may overlap; j is a candidate m with its piece p and its pseudonym s.
+    pieces = f"split(t, {_text(f'(?={ANY})')}, -1)"
+    judged = f"zip_with(ms, slice(ps, size(ps) - size(ms) + 1, size(ms)), (m, p) -> named_struct('m', m, 'p', p, 's', {_pseudonym(key)}))"
+    rest = "substring(j.p, length(j.m) + 1)"
+    # Where no valid value reaches into the next piece, each stands alone; else the first from the left cover what they reach.
+    alone = (f"named_struct('out', transform(js, j -> case when j.s is null then j.p else concat(j.s, {rest}) end), "
+             "'found', size(filter(js, j -> coalesce(j.s <> j.m, false))), 'skip', 0)")
+    step = ("case when a.skip > 0 then named_struct('out', concat(a.out, array(substring(j.p, a.skip + 1))), 'found', a.found, 'skip', greatest(a.skip - length(j.p), 0)) "
+            "when j.s is null then named_struct('out', concat(a.out, array(j.p)), 'found', a.found, 'skip', 0) "
+            f"else named_struct('out', concat(a.out, array(concat(j.s, {rest}))), 'found', a.found + int(j.s <> j.m), 'skip', greatest(length(j.m) - length(j.p), 0)) end")
+    chained = f"aggregate(js, named_struct('out', cast(array() as array<string>), 'found', 0, 'skip', 0), (a, j) -> {step})"
+    resolved = f"case when exists(js, j -> j.s is not null and length(j.m) > length(j.p)) then {chained} else {alone} end"
+    joined = "concat(case when size(ps) > size(ms) then ps[0] else '' end, array_join(r.out, ''))"
+    made = _let("ps", pieces, _let("js", judged, _let("r", resolved, f"named_struct('text', {joined}, 'found', r.found)")))
+    found = _let("ms", f"regexp_extract_all(t, {_text(f'(?=({ANY}))')}, 1)", f"case when size(ms) > 0 then {made} else named_struct('text', t, 'found', 0) end")
     # All forms have a digit or an at sign: most texts end here.
     whole = f"case when t rlike '[0-9@]' then {found} else named_struct('text', t, 'found', 0) end"
     return F.expr(_let("t", f"`{text_column}`", whole))

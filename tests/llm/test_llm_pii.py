@@ -124,3 +124,31 @@ def test_corner_rows(spark):
 @pytest.mark.parametrize("secret", ["it's", "back\\slash"])
 def test_any_secret_may_be_quoted(spark, secret):
     assert masked(spark, ["123-45-6789"], secret)[0][1] == 1
+
+
+def test_a_failed_candidate_hides_nothing(spark):
+    values = {
+        "IBAN {} BIC: X": "AT61 1904 3002 3457 3201", "{} BIC GIBAATWW": "AT611904300234573201", "{} 2024 PAID": "BE68 5390 0754 7034", "NO12 {}": "4111111111111111",
+        "{} OK": "NO93 8601 1117 947", "FR14 {} X": "DE89370400440532013000", "1234 {}": "4111 1111 1111 1111", "ref 9998-{} end": "4111-1111-1111-1111",
+        "call {} now": "212 555 1234", "tel {}.": "+33 1 23 45 67 89", "or {}": "+33.1.23.45.67.89", "{}, UK": "+44 20 7946 0958",
+        "212 555 {}": "4111 1111 1111 1111", "\U0001f600\u00e9 AT61 {}": "4111111111111111", "99.99.2023 and {}": "ann@mail7.example.com",
+    }
+    result = masked(spark, [frame.format(v) for frame, v in values.items()])
+    for k, (frame, value) in enumerate(values.items()):
+        text, found = result[k]
+        before, after = frame.split("{}")
+        assert value not in text and found == 1 and len(text) == len(frame.format(value)), frame
+        assert text.startswith(before) and text.endswith(after), frame
+        new = text[len(before):len(text) - len(after)]
+        assert shape(new) == shape(value)
+        if value[:2].isalpha() and value[2].isdigit():
+            assert new[:2] == value[:2] and iban(new)
+        elif value.startswith("4111"):
+            assert luhn(new)
+
+
+def test_overlapping_values_go_from_the_left(spark):
+    texts = ["+1 (017) 555-7713", "a +1 (017) 555-7713, 4111111111111111 and 10.1.2.3 b", "+49 89 1234 4111 1111 1111 1111"]
+    result = masked(spark, texts)
+    assert [result[k][1] for k in range(3)] == [1, 3, 2] and luhn(result[2][0][12:])
+    assert result[1][0].startswith(f"a {result[0][0]}, ") and result[1][0].endswith(" b") and " and " in result[1][0]

@@ -132,4 +132,61 @@ select t.doc_id, coalesce(n, 0) as n_shingles, component_id, t.doc_id = componen
 from texts t left join sizes using (doc_id) join roots using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_licences": _LICENCES.replace("{most}", str(LICENCE_FILE_CHARS)), "op3_near_dup": _NEAR_DUP, "op8_chat": _CHAT, "op9_decontam": _DECONTAM}
+_HARD_NEGATIVES = """
+with rows as materialized (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+    from embeddings
+    where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), anchors as (select * from rows where vec_id % 100 = 0),
+scored as materialized (
+    select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_inner_product(a.q, r.q) as bigint) as score
+    from anchors a join rows r on r.vec_id <> a.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+_SPELLING = rf"""
+with recursive runs as (
+    select doc_id, run, count(*) as n from (
+        select doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents
+    ) as x group by all
+), hashed as (
+    select run, n, xor(list_reduce(
+        list_transform(range(0, cast(octet_length(said) as bigint)), lambda i: cast('0x' || hex(said)[2 * i + 1:2 * i + 2] as ubigint)),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::ubigint[], lambda c, unused: xor(c >> 1, (c & 1) * 3988292384::ubigint)),
+        4294967295::ubigint), 4294967295::ubigint) as h
+    from (select run, n, encode(coalesce(cast(doc_id as varchar), '') || ':' || run) as said from runs) as x
+), words as materialized (
+    select word, cast(sum(n) as bigint) as n from (
+        select case when h % 97 = 0 then left(run, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) as bigint) + 2) else run end as word, n from hashed
+    ) as x where length(word) >= 5 group by word having sum(n) >= 3
+), less as materialized (
+    select word, n, i, left(word, i) || substr(word, i + 2) as rest from words, unnest(range(0, length(word))) as u(i)
+), near as materialized (
+    select a.word, a.n, b.word as other, b.n as other_n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+    union select a.word, a.n, b.word, b.n from less a join words b on a.rest = b.word
+    union select b.word, b.n, a.word, a.n from less a join words b on a.rest = b.word
+), best as (
+    select word, n, count(*) over (partition by word) as n_near, other, other_n from near
+    qualify row_number() over (partition by word order by other_n desc, other) = 1
+), judged as materialized (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when other_n >= 2 * w.n then other end as form, case when other_n >= 2 * w.n then other_n end as form_n
+    from words w left join best b using (word)
+), chain(word, reached, step) as (
+    select word, word, 0 from judged union all
+    select c.word, j.form, step + 1 from chain c join judged j on j.word = c.reached where j.form is not null
+), roots as (select word, max_by(reached, step) as root from chain group by word)
+select word, form, root, n, n_near, form_n from judged join roots using (word)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_licences": _LICENCES.replace("{most}", str(LICENCE_FILE_CHARS)), "op3_near_dup": _NEAR_DUP, "op8_chat": _CHAT, "op9_decontam": _DECONTAM,
+    "op11_hard_negatives": _HARD_NEGATIVES, "op13_spelling": _SPELLING,
+}

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storelens.llm import language_id
 from storelens.llm import toxicity as tox
 from storelens.llm.chat import format_conversations, read_back
 from storelens.llm.decontam import contamination
+from storelens.llm.hard_negatives import hard_negatives
 from storelens.llm.html_text import extract_text
 from storelens.llm.licenses import scan
 from storelens.llm.near_dup import near_duplicates
@@ -18,6 +20,7 @@ from storelens.llm.packing import pack
 from storelens.llm.pii import pseudonymise
 from storelens.llm.quality import judge
 from storelens.llm.shared import secret_of, table, tokenizer_path
+from storelens.llm.spelling import spelling_variants
 from storelens.llm.url_filter import ALLOW, BLOCK, judge_urls, path_of
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -99,6 +102,22 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every hundredth vector is an anchor; a seventh of the labels is moved on by one."""
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_licences": op1_licences,
     "op2_pseudonyms": op2_pseudonyms,
@@ -110,4 +129,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat": op8_chat,
     "op9_decontam": op9_decontam,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_language": op12_language,
+    "op13_spelling": op13_spelling,
 }

@@ -140,11 +140,14 @@ def held_out_rows(doc_id: Column) -> Column:
 
 def _sample(docs: DataFrame, most: int) -> DataFrame:
     """At most ``most`` rows of each language. Rows far beyond the bound are passed over where they are
-    read, so that what meets in one language's window is about the bound itself."""
-    counts = docs.groupBy("lang").agg(F.count("*").alias("rows"))
+    read, by each language's count, so what is shuffled to one language's window is about the bound itself."""
+    # One count for each language, that is for each class to tell apart.
+    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return docs.select("lang", "text")
     place = F.xxhash64("doc_id", F.lit(77))
-    share = (F.lit(1.5 * most + 1000) / F.col("rows")) * (1 << 30)
-    near = docs.join(counts, "lang").where(F.pmod(F.xxhash64(place), F.lit(1 << 30)) < share)
+    shares = [F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, (1.5 * most + 1000) / n) * (1 << 30)))]
+    near = docs.where(F.pmod(F.xxhash64(place), F.lit(1 << 30)) < F.create_map(*shares)[F.col("lang")])
     order = Window.partitionBy("lang").orderBy(place, "text")
     return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select("lang", "text")
 

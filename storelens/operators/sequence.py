@@ -6,21 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from storelens.operators.slices import packed, sliced
 
-def next_in_group(df: DataFrame, key: str, ts: str, unique: str, name: str, bucket: str = "month") -> DataFrame:
+
+def next_in_group(df: DataFrame, key: str, ts: str, unique: str, name: str, slices: int | None = None) -> DataFrame:
     """Add column ``name``: the ``ts`` of the next row of the same ``key``, ordered by ``ts, unique``.
 
-    Rows are grouped by key and calendar ``bucket``, so no group holds more than one bucket of one
-    key; a finer bucket makes groups smaller. Only the last row of each bucket has no next row in its
-    group: those rows, one per key and bucket, take the first time of the key's next bucket from a
-    second window. Every key goes the same way. Both halves read one exchange, so ``df`` is read once.
+    All rows are cut into slices of the order ``key, ts, unique``, one task each, whatever share of them one
+    key or one moment holds; the number of slices is that of shuffle partitions unless it is given. Within
+    a slice a plain ``lead`` finds the next row. The last row of a slice takes the head of the next
+    slice instead: heads are one row per slice, so they are broadcast. Nulls sort first, a null key is a key.
     """
-    cut = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts).cast("timestamp")))
-    group = Window.partitionBy(key, "_bucket")
-    led = cut.withColumn("_next", F.lead(ts).over(group.orderBy(ts, unique))).withColumn("_first", F.min(ts).over(group))
-    # A time is never null within a bucket, so a missing next row marks the last one; rows without a
-    # time share the null bucket and are told apart by their number.
-    led = led.withColumn("_last", F.lead(F.lit(True)).over(group.orderBy(ts, unique)).isNull())
-    across = F.lead("_first").over(Window.partitionBy(key).orderBy("_bucket"))
-    ended = led.where("_last").withColumn("_next", across)
-    return led.where(~F.col("_last")).unionByName(ended).select(*df.columns, F.col("_next").alias(name))
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [key, ts, unique]
+    cut = sliced(df, keys, "_slice", slices)
+    heads = cut.groupBy("_slice").agg(F.min(packed(keys)).alias("_head")).select(
+        F.lead("_slice").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_slice"))).alias("_before"), "_head"
+    )
+    # The slice number is the partition: no hash that would put two slices into one task and none into another.
+    order = Window.partitionBy("_slice").orderBy(key, ts, unique)
+    led = cut.repartitionById(slices, F.col("_slice")).withColumn("_next", F.lead(packed(keys)).over(order))
+    last = F.col("_next").isNull()
+    carried = led.join(F.broadcast(heads), last & (F.col("_slice") == F.col("_before")), "left")
+    following = F.coalesce("_next", "_head")
+    same = F.col(key).eqNullSafe(following["k0"]) & following.isNotNull()
+    return carried.select(*df.columns, F.when(same, following["k1"]).alias(name))

@@ -101,7 +101,7 @@ def q05_weak_unit_economics(star: Star, top: int = 20, small: int | None = None)
     products = write_once(views.product_kpis(star), "product-kpis")
     floor = percentiles(products, {"item_revenue": 0.75}, ["product_id"], small)["item_revenue"]
     return (
-        products.where(F.col("item_revenue").cast("double") >= F.lit(floor).cast("double"))
+        products.where(F.col("item_revenue").cast("double") >= floor)
         .withColumn("gross_margin_rate", rounded(ratio(F.col("gross_profit"), F.col("item_revenue")), 4))
         .orderBy(F.asc_nulls_last("gross_margin_rate"), "product_id")
         .limit(top)
@@ -170,14 +170,14 @@ def q08_rfm_segments(star: Star, small: int | None = None) -> DataFrame:
         ),
         "customer-value",
     )
-    n = value.count()
     # The fewest days since the last order come first, which is the latest day first.
-    recency = 6 - tiles(value, [Key("last_day", descending=True), "customer_id"], 5, n, small=small)
-    frequency = tiles(value, ["frequency", "customer_id"], 5, n, small=small)
-    monetary = tiles(value, ["monetary", "customer_id"], 5, n, small=small)
+    scored = tiles(value, {
+        "recency": ([Key("last_day", descending=True), "customer_id"], 5, "ntile"),
+        "f_tile": (["frequency", "customer_id"], 5, "ntile"), "m_tile": (["monetary", "customer_id"], 5, "ntile"),
+    }, small)
     score = F.col("score")
     return (
-        value.withColumn("score", recency + frequency + monetary)
+        scored.withColumn("score", 6 - F.col("recency") + F.col("f_tile") + F.col("m_tile"))
         .groupBy(
             F.when(score >= 13, "Champions").when(score >= 10, "Loyal").when(score >= 7, "Needs Attention")
             .otherwise("At Risk").alias("segment")
@@ -425,8 +425,8 @@ def q23_margin_concentration(star: Star, small: int | None = None) -> DataFrame:
     margins = write_once(
         views.economics(star).groupBy("customer_id").agg(F.sum("contribution_margin").alias("margin")), "customer-margin"
     )
-    quintile = tiles(margins, [Key("margin", descending=True), "customer_id"], 5, margins.count(), small=small)
-    grouped = margins.groupBy(quintile.alias("value_quintile")).agg(
+    tiled = tiles(margins, {"value_quintile": ([Key("margin", descending=True), "customer_id"], 5, "ntile")}, small)
+    grouped = tiled.groupBy("value_quintile").agg(
         F.count(ROWS).alias("customers"), F.sum("margin").alias("contribution_margin")
     )
     total = F.sum("contribution_margin").over(Window.partitionBy(F.lit(1)))
@@ -482,11 +482,10 @@ def q25_store_week_exceptions(star: Star, small: int | None = None) -> DataFrame
         ),
         "store-weeks",
     )
-    bound = percentiles(
+    limit = percentiles(
         weeks, {"cancellation_rate": 0.75, "late_rate": 0.75, "contribution_margin": 0.25},
         ["week_start", "store_id"], small,
     )
-    limit = {name: F.lit(value).cast("double") for name, value in bound.items()}
     flagged = (
         (F.col("cancellation_rate") >= limit["cancellation_rate"])
         | (F.col("late_rate") >= limit["late_rate"])

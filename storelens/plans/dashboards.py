@@ -77,10 +77,9 @@ def replenishment_review(star: Star, small: int | None = None) -> DataFrame:
     )
     stock = marts.inventory_product_kpis(star).select("product_id", "category", "stockout_minutes", "waste_rate")
     products = write_once(stock.join(sales, "product_id"), "replenishment")
-    bound = percentiles(
+    limit = percentiles(
         products, {"stockout_minutes": 0.75, "waste_rate": 0.75, "gross_margin_rate": 0.5}, ["product_id"], small,
     )
-    limit = {n: F.lit(v).cast("double") for n, v in bound.items()}
     out_of_stock = (F.col("stockout_minutes") >= limit["stockout_minutes"]) & (F.col("gross_profit") > 0)
     wasteful = (F.col("waste_rate") >= limit["waste_rate"]) & (F.col("gross_margin_rate") < limit["gross_margin_rate"])
     return products.withColumn(

@@ -84,15 +84,9 @@ def rfm_customers(star: Star, small: int | None = None) -> DataFrame:
         .withColumn("recency_days", span_days(reference_time, F.col("last_order"))),
         "customer-rfm",
     )
-    n = value.count()
-
-    def bucket(name: str) -> Column:
-        return tiles(value, [name, "customer_id"], 5, n, method="qcut", small=small)
-
-    scored = value.select(
-        "*", (6 - bucket("recency_days")).alias("r_score"), bucket("frequency").alias("f_score"),
-        bucket("monetary").alias("m_score"),
-    ).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+    by = {"r_score": "recency_days", "f_score": "frequency", "m_score": "monetary"}
+    scored = tiles(value, {score: ([name, "customer_id"], 5, "qcut") for score, name in by.items()}, small)
+    scored = scored.withColumn("r_score", 6 - F.col("r_score")).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     segment = F.lit(None).cast("string")
     for upper, label in reversed(RFM_BANDS):
         segment = F.when(F.col("rfm_score") <= upper, label).otherwise(segment)

@@ -41,13 +41,13 @@ def order_economics_mart(star: Star) -> DataFrame:
     return economics(star).withColumn("order_date", F.to_date("order_ts"))
 
 
-def order_sequence(star: Star, extra: tuple[str, ...] = (), bucket: str = "month") -> DataFrame:
+def order_sequence(star: Star, extra: tuple[str, ...] = (), slices: int | None = None) -> DataFrame:
     """Each order with the customer's next order time and whether it fell within 30 days.
 
     Cancelled orders count on both ends; orders at the same time follow their id.
     """
     columns = ["customer_id", "order_id", "order_ts", "delivery_minutes", "status", *extra]
-    led = next_in_group(star.orders.select(*columns), "customer_id", "order_ts", "order_id", "next_order_ts", bucket)
+    led = next_in_group(star.orders.select(*columns), "customer_id", "order_ts", "order_id", "next_order_ts", slices)
     return led.withColumn(
         "repeated_within_30d",
         F.coalesce(F.col("next_order_ts") <= F.col("order_ts") + F.expr("interval '30' day"), F.lit(False)),

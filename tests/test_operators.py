@@ -23,15 +23,33 @@ def orders(spark):
     )
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month", "year"])
-def test_next_in_group_matches_lead(orders, bucket):
-    got = next_in_group(orders, "customer", "ts", "id", "n", bucket)
+@pytest.mark.parametrize("slices", [None, 1, 2, 40])
+def test_next_in_group_matches_lead(orders, slices):
+    got = next_in_group(orders, "customer", "ts", "id", "n", slices)
     want = F.lead("ts").over(Window.partitionBy("customer").orderBy("ts", "id"))
     both = got.withColumn("w", want)
     assert both.count() == 3000
     assert both.where("not (n <=> w)").count() == 0
 
 
+def test_one_customer_in_one_month_fills_no_task(spark):
+    """A third of the rows belong to one customer and one second; no task takes twice the median."""
+    rows = spark.range(60_000).selectExpr(
+        "id", "if(id % 3 = 0, 0, id) as customer", "if(id % 3 = 0, timestamp_ntz'2025-01-01', timestampadd(minute, id % 977, timestamp_ntz'2025-01-01')) as ts"
+    )
+    led = next_in_group(rows, "customer", "ts", "id", "n", 32).withColumn("task", F.spark_partition_id())
+    sizes = sorted(r["count"] for r in led.groupBy("task").count().collect())
+    assert len(sizes) >= 30 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    heavy = led.where("customer = 0")
+    assert heavy.where("n is null").count() == 1 and heavy.count() == 20_000
+
+
+def test_next_of_empty_and_single_rows(spark):
+    df = spark.createDataFrame([(1, 5, dt.datetime(2025, 1, 1))], "id int, k int, ts timestamp_ntz")
+    assert next_in_group(df, "k", "ts", "id", "n", 9).collect()[0]["n"] is None
+    assert next_in_group(df.limit(0), "k", "ts", "id", "n").count() == 0
+
+
 def test_rows_without_a_time_come_first(spark):
     rows = [(1, 1, None), (2, 1, None), (3, 1, dt.datetime(2025, 1, 2)), (4, 1, dt.datetime(2025, 3, 2))]
     got = {r["id"]: r["n"] for r in next_in_group(spark.createDataFrame(rows, "id int, k int, ts timestamp_ntz"), "k", "ts", "id", "n").collect()}

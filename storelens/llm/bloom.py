@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +49,9 @@ def parted(df: DataFrame, key: Column, values: DataFrame, name: str) -> tuple[Da
     """
     shared = df.sparkSession.sparkContext.broadcast(bloom(values, name))
 
-    @F.pandas_udf("boolean")
-    def may_be(hashes: pd.Series) -> pd.Series:
-        return pd.Series(in_bloom(shared.value, hashes.to_numpy(np.int64).view(U64)))
+    @F.arrow_udf("boolean")
+    def may_be(hashes: pa.Array) -> pa.Array:
+        return pa.array(in_bloom(shared.value, hashes.to_numpy(zero_copy_only=False).astype(np.int64).view(U64)))
 
     return df.where(~may_be(key)), df.where(may_be(key))
 

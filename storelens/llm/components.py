@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.shared import write_once
+from storelens.llm.shared import plain_key, write_once
 
 
 def _is_star(links: DataFrame) -> bool:
@@ -20,8 +20,8 @@ def components(links: DataFrame, src: str, dst: str) -> DataFrame:
 
     Each round hangs the larger neighbours of a node on its smallest one, then the smaller ones
     likewise; the number of rounds grows with the logarithm of a component's size. Only minima are
-    kept per node, combined before the shuffle; a node with very many links is a skewed join key,
-    which AQE splits. Every round is written to the shared folder, so a lost executor costs a
+    kept per node, combined before the shuffle; a node with very many links is a skewed join key, which
+    AQE splits, since the minima meet it through a shuffle of their own. Every round is written to the shared folder, so a lost executor costs a
     re-read. Links with a null end are ignored; an empty table gives an empty result.
     """
     a, b = F.col(src).cast("long"), F.col(dst).cast("long")
@@ -31,9 +31,9 @@ def components(links: DataFrame, src: str, dst: str) -> DataFrame:
     while True:
         both = table.unionByName(table.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(plain_key(lowest, "u"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(plain_key(lowest, "u"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         table = write_once(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct(), "links")
         if _is_star(table):
             break

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.bloom import bloom, in_bloom
-from storelens.llm.shared import column, only, write_once
+from storelens.llm.shared import apart, column, only, tidy, write_once
 from storelens.llm.words import ALNUM, Words, gram_hashes, ranges, slices, text_bytes
 
 WINDOW = 13
@@ -162,7 +162,7 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = 5, id_column
     texts = only(docs, [id_column, text_column]).toDF("doc_id", "text")
     found = write_once(
         texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text").mapInArrow(
-            _candidates(sieve, lengths),
+            tidy(_candidates(sieve, lengths)),
             "doc_id long, key long, n_words long, hits array<struct<print: long, start: int, n: int, window: long>>",
         ), "candidates",
     )
@@ -196,6 +196,7 @@ def contamination(docs: DataFrame, items: DataFrame, percent: int = 5, id_column
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
-    same = column("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(column("text")) == F.col("_k"))
+    mine, key = apart(docs, "_mine"), apart(docs, "_key")
+    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias(mine), F.col("key").alias(key)).distinct()
+    same = column("doc_id").cast("long").eqNullSafe(F.col(mine)) & (F.xxhash64(column("text")) == F.col(key))
     return docs.join(bad, same, "left_anti")

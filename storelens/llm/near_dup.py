@@ -29,10 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from storelens.llm.bloom import parted, sift
 from storelens.llm.components import components
-from storelens.llm.shared import column, only, write_once
+from storelens.llm.shared import apart, column, only, plain_key, tidy, write_once
 from storelens.llm.words import NOT_BLANK, U64, Words, constants, gram_hashes, mix, slices, text_bytes
 
 SHINGLE = 5
@@ -221,14 +222,14 @@ def _compared(groups: DataFrame, texts: DataFrame, percent: int, across: bool) -
     rows = groups.join(texts, "node").select("cluster", "x", "y", "node", F.col("side").cast("long").alias("side"), "label", "text")
     key = ["cluster", "x", "y"]
     sorted_rows = rows.repartition(*key).sortWithinPartitions(*key, "side", "node")
-    return write_once(sorted_rows.mapInArrow(_verify(percent, across), "a long, b long"), "near-links")
+    return write_once(sorted_rows.mapInArrow(tidy(_verify(percent, across)), "a long, b long"), "near-links")
 
 
 def _links(clusters: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``a, b``: links that connect all linked members of ``clusters(cluster, node, n_shingles)``."""
     weight = F.col("n_shingles") + MEMBER
     parts = clusters.groupBy("cluster").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("parts"))
-    cut = write_once(clusters.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "cut")
+    cut = write_once(clusters.join(plain_key(parts, "cluster"), "cluster").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "cut")
     # The first block meets every block; another one meets itself and the first.
     meets = F.when(F.col("part") == 0, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array("part"))
     first = cut.select("cluster", F.lit(0).alias("x"), F.explode(meets).alias("y"), "node", (F.col("part") > 0).cast("long").alias("side"),
@@ -243,12 +244,12 @@ def _links(clusters: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     )
     largest = labelled.groupBy("cluster", "label").agg(F.count("*").alias("n")).groupBy("cluster").agg(
         F.max_by("label", F.struct("n", "label")).alias("largest"))
-    outside = labelled.join(largest, "cluster").where("label <> largest").drop("largest")
+    outside = labelled.join(plain_key(largest, "cluster"), "cluster").where("label <> largest").drop("largest")
     spread = outside.groupBy("cluster").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("shares"))
-    askers = outside.join(spread, "cluster").select(
+    askers = plain_key(outside, "cluster").join(plain_key(spread, "cluster"), "cluster").select(
         "cluster", F.pmod(F.xxhash64("node", F.lit(1)), F.col("shares")).cast("int").alias("x"),
         F.explode(F.sequence(F.lit(1), F.col("parts") - 1)).alias("y"), "node", F.lit(0).cast("long").alias("side"), "label")
-    asked = labelled.where("part > 0").join(spread, "cluster").select(
+    asked = labelled.where("part > 0").join(plain_key(spread, "cluster"), "cluster").select(
         "cluster", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("x"), F.col("part").alias("y"), "node", F.lit(1).cast("long").alias("side"), "label")
     return links.unionByName(_compared(askers.unionByName(asked), texts, percent, across=True))
 
@@ -264,7 +265,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
     """
     texts = only(docs, [id_column, text_column]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     sketched = write_once(
-        texts.mapInArrow(_sketch(rows_per_band(percent)), "doc_id long, n_shingles long, hi long, lo long, bands array<long>"), "sketches"
+        texts.mapInArrow(tidy(_sketch(rows_per_band(percent))), "doc_id long, n_shingles long, hi long, lo long, bands array<long>"), "sketches"
     )
     some = sketched.where("n_shingles > 0 and doc_id is not null")
     classes = write_once(
@@ -295,9 +296,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_column: str = "doc_id
 def one_of_each(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each component, all columns kept.
 
-    The document with the component's id stays; rows that share an id are one document, so of those one
-    stays as well. Rows without an id all stay. Only rows that may have to go are shuffled: a Bloom
-    filter of their ids sends the others straight on.
+    The document with the component's id stays. Of rows that share an id and a text one stays, the one whose
+    columns have the smallest hash; another text under the id is another document and stays if the id does.
+    Rows without an id all stay. Only rows that may have to go are shuffled: a Bloom filter of their
+    ids sends the others straight on.
     """
     key = column(id_column).cast("long")
     judged = write_once(near_duplicates(docs, percent, id_column, text_column).where("doc_id is not null"), "judged")
@@ -305,8 +307,10 @@ def one_of_each(docs: DataFrame, percent: int = 80, id_column: str = "doc_id", t
     twice = judged.where("kept").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     special = write_once(gone.withColumn("stays", F.lit(False)).unionByName(twice.withColumn("stays", F.lit(True))), "special")
     passed, held = parted(docs, F.xxhash64(key), special.select(F.xxhash64("doc_id").alias("hash")), "hash")
-    marks = special.select(F.col("doc_id").alias("_id"), "stays")
-    marked = held.withColumn("_key", key).join(marks, F.col("_key") == F.col("_id"), "left")
-    alone = marked.where("_id is null")
-    first = marked.where("stays").dropDuplicates(["_key"])
+    mine, found, stays, place = (apart(docs, f"_{n}") for n in ("mine", "found", "stays", "place"))
+    marks = special.select(F.col("doc_id").alias(found), F.col("stays").alias(stays))
+    marked = held.withColumn(mine, key).join(marks, F.col(mine) == F.col(found), "left")
+    alone = marked.where(F.col(found).isNull())
+    order = Window.partitionBy(mine, column(text_column)).orderBy(F.xxhash64(*[column(c) for c in docs.columns]))
+    first = marked.where(F.col(stays)).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
     return passed.unionByName(alone.unionByName(first).select(*[column(c) for c in docs.columns]))

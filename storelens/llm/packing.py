@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.shared import only
+from storelens.llm.shared import only, tidy
 from storelens.llm.words import NOT_BLANK, U64, Words, ranges, slices, text_bytes
 
 CAPACITY = 4096
@@ -70,8 +70,8 @@ class WordIds:
         self.slot_word = np.zeros(SLOTS, np.int32)
         self.words, self.ids = 0, 0
         self.flat = np.empty(1 << 18, np.uint32)
-        self.begin = np.empty(1 << 16, np.int64)
-        self.size = np.empty(1 << 16, np.int64)
+        self.begin = np.empty(1 << 16, np.int32)
+        self.size = np.empty(1 << 16, np.int32)
         self.stops = np.empty(1 << 16, bool)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
@@ -162,7 +162,7 @@ class WordIds:
             raw = data.tobytes()
             self._learn(new, [raw[a:b] for a, b in zip(w.starts[places].tolist(), w.ends[places].tolist())])
             numbers[missing] = self._find(hashes[missing])
-        sizes = self.size[numbers]
+        sizes = self.size[numbers].astype(np.int64)
         after = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.flat[ranges(self.begin[numbers], sizes)]
         stops = np.flatnonzero(self.stops[numbers])
@@ -334,6 +334,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     """
     texts = only(docs, [id_column, text_column]).toDF("doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     return texts.mapInArrow(
-        _pack(tokenizer, end_id, capacity),
+        tidy(_pack(tokenizer, end_id, capacity)),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )

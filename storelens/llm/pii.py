@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.shared import column
+from storelens.llm.shared import apart, column
 
 ROUNDS = 8
 
@@ -219,8 +219,9 @@ def pseudonymise(docs: DataFrame, secret: str, text_column: str = "text", found_
     Null texts stay null with a count of 0.
     """
     names = [c for c in docs.columns if c != found_column]
-    made = docs.withColumn("__text", column(text_column)).withColumn("__made", pseudonyms("__text", secret))
+    read, pair = apart(docs, "__text"), apart(docs, "__made")
+    made = docs.withColumn(read, column(text_column)).withColumn(pair, pseudonyms(read, secret))
     return made.select(
-        *[F.col("__made.text").alias(c) if c == text_column else column(c) for c in names],
-        F.coalesce("__made.found", F.lit(0)).cast("long").alias(found_column),
+        *[F.col(f"{pair}.text").alias(c) if c == text_column else column(c) for c in names],
+        F.coalesce(f"{pair}.found", F.lit(0)).cast("long").alias(found_column),
     )

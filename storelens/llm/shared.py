@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import ctypes
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storelens.session import write_once
 
-__all__ = ["column", "hashed_sample", "only", "secret_of", "table", "tokenizer_path", "write_once"]
+__all__ = ["apart", "column", "hashed_sample", "only", "plain_key", "secret_of", "table", "tidy", "tokenizer_path", "write_once"]
 
 # Names the setting that holds the key of pseudonyms; a real run sets its own.
 SECRET_SETTING, SECRET = "spark.storelens.pii.secret", "change me"
@@ -25,6 +28,38 @@ def only(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[column(n) for n in names])
 
 
+def apart(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def plain_key(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with long key columns passed through an expression, so that a join deals its rows out anew.
+
+    AQE splits a skewed key only where both sides of a join are plain shuffles. An aggregate by the key is
+    dealt by it already and would be joined as it is; its few rows go through one more shuffle instead.
+    """
+    return df.withColumns({k: F.expr(f"`{k}` ^ 0L") for k in keys})
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and at a task's end its worker hands freed memory back. Workers live on between tasks and stages."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 def hashed_sample(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """At most ``rows`` rows of ``df``, those with the smallest hashes of ``keys``.
 

@@ -19,7 +19,6 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -260,17 +259,17 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, exceptio
 
 
 def strength_column(lexicon: Lexicon, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def strength(texts: pd.Series) -> pd.Series:
-        return pd.Series(lexicon.strengths(texts))
+    @F.arrow_udf("double")
+    def strength(texts: pa.Array) -> pa.Array:
+        return pa.array(lexicon.strengths(texts.to_pylist()), pa.float64())
 
     return strength(text)
 
 
 def score_column(lexicon: Lexicon, text: Column) -> Column:
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(lexicon.scores(texts))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(lexicon.scores(texts.to_pylist()), pa.float64())
 
     return score(text)
 

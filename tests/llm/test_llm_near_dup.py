@@ -4,10 +4,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from corner import documents, empty
+from pyspark.sql import functions as F
 
 from conftest import DATA
 from storelens.llm import near_dup
 from storelens.llm.components import components
+from storelens.llm.shared import plain_key, write_once
 
 
 def shingles(text):
@@ -113,3 +115,38 @@ def test_components_of_chains_stars_and_loops(spark):
 
 def test_bands_follow_the_threshold():
     assert [near_dup.rows_per_band(p) for p in (95, 85, 80, 70)] == [8, 8, 6, 4]
+
+
+def test_another_text_under_an_id_is_another_document(spark):
+    rows = [(1, "one text of some words that stands alone here"), (1, "a quite different one which has nothing in common"), (1, "one text of some words that stands alone here"),
+            (2, "one text of some words that stands alone here"), (3, None), (3, None)]
+    left = near_dup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in left) == [(1, rows[1][1]), (1, rows[0][1]), (3, "")]
+
+
+def test_columns_of_the_caller_stay_as_they_are(spark):
+    docs = documents(spark)
+    left = near_dup.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert {tuple(r)[2:] for r in left.collect()} == {tuple(r)[2:] for r in docs.collect()}
+
+
+def test_a_hub_is_split(spark):
+    """The minima meet the links through a shuffle of their own, so AQE can split a node with most of the links."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "24",
+            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.range(40_000).selectExpr("id as a", "if(id % 2 = 0, 50000L, 60000L + id) as b").repartition(8)
+        table = write_once(links.selectExpr("b as u", "a as v"), "hub-links")
+        joined = table.join(plain_key(table.groupBy("u").agg(F.min("v").alias("m")), "u"), "u").select("v", "m").distinct()
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+        roots = {r["node"]: r["root"] for r in components(links, "a", "b").collect()}
+        assert len(roots) == 60_001 and all(roots[i] == (0 if i % 2 == 0 else i) for i in range(40_000)) and roots[50_000] == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -14,13 +14,13 @@ from storelens.llm.decontam import decontaminate
 from storelens.llm.near_dup import one_of_each
 from storelens.llm.packing import pack
 from storelens.llm.pii import pseudonymise
-from storelens.llm.shared import secret_of, table, tokenizer_path, write_once
+from storelens.llm.shared import apart, column, secret_of, table, tokenizer_path, write_once
 
 
 def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon, learned from the labels, does not call toxic."""
     lexicon = tox.fit(docs, table(spark, sf_dir, "labels"))
-    return tox.toxicity(docs, lexicon).where("predicted = 0").select(*docs.columns)
+    return docs.where(tox.score_column(lexicon, column("text")) < 0.5)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,10 +35,11 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data under pseudonyms; ``n_chars`` follows the text where that changed."""
-    made = pseudonymise(docs, secret_of(spark), found_column="__found")
+    found = apart(docs, "__found")
+    made = pseudonymise(docs, secret_of(spark), found_column=found)
     if "n_chars" in docs.columns:
-        made = made.withColumn("n_chars", F.when(F.col("__found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return made.select(*docs.columns)
+        made = made.withColumn("n_chars", F.when(F.col(found) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return made.drop(found)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

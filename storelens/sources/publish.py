@@ -39,9 +39,9 @@ class PricedStar(Star):
     def __init__(self, inner: Star):
         super().__init__(inner.spark)
         self.inner = inner
+        # The merge of orders with their totals must be one to one; here that is looked at before anything is priced.
+        require_unique(inner.orders.select("order_id"), ["order_id"], "fact_orders")
         self.priced = write_once(inner.orders_with_totals, "priced-orders")
-        # The merge of orders with their totals must be one to one.
-        require_unique(self.priced.select("order_id"), ["order_id"], "fact_orders")
 
     def open(self, name: str) -> DataFrame:
         if name == "fact_orders":
@@ -100,35 +100,66 @@ def write_quality_report(report: DataFrame, path: str) -> None:
     quality.quality_summary(held).write.mode("overwrite").json(f"{path}/summary")
 
 
+MANIFEST = "load_manifest"
+_MANIFEST_SCHEMA = "batch string, table_name string, rows bigint"
+
+
+def _staged(spark: SparkSession, df: DataFrame, target: str, buckets: int | None, key: str | None) -> int:
+    """Write ``df`` as table ``target`` and give its row count, which the writing job and the table agree on."""
+    spark.sql(f"drop table if exists {target}")
+    watch = Observation(f"rows of {target}")
+    writer = df.observe(watch, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").format("parquet")
+    if buckets and key:
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(target)
+    written, found = watch.get["n"], spark.table(target).count()
+    if written != found:
+        raise RuntimeError(f"row count differs for {target}: written {written}, found {found}")
+    return found
+
+
 def load_tables(star: Star, database: str, buckets: int | None = None, tables: list[str] | None = None,
-                mode: str = "replace") -> dict[str, int]:
+                mode: str = "replace", batch: str | None = None) -> dict[str, int]:
     """Load the star's tables into a warehouse database and reconcile the row counts.
 
-    ``replace`` drops a table that is there first, so a rerun doubles nothing; ``append`` adds to it.
+    Every table is first written under a staging name and counted. Only when all of them agree are they
+    swapped in, by renaming, so a fault in any table leaves the old data in place. ``replace`` puts the new
+    rows in the place of the old ones; ``append`` stages old and new rows together. The counts go into the
+    table ``load_manifest`` under the name of the ``batch``; a batch that the manifest lists is not loaded
+    again, its counts are returned, so running it twice adds nothing.
 
     With ``buckets`` the order and line tables are bucketed and sorted by order id, and their join
     moves no data. One task then reads each bucket, so leave it out where a single order may hold a
     large share of all lines: a shuffled join can split such a key, a bucket cannot be split.
     """
-    spark, counts = star.spark, {}
+    if mode not in ("replace", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    spark, names = star.spark, tables or list(TABLES)
     spark.sql(f"create database if not exists `{database}`")
-    for name in tables or list(TABLES):
-        target = f"`{database}`.`{name}`"
-        if mode == "replace":
-            spark.sql(f"drop table if exists {target}")
-        elif mode != "append":
-            raise ValueError(f"unknown mode {mode!r}")
-        before = spark.table(target).count() if spark.catalog.tableExists(f"{database}.{name}") else 0
-        watch = Observation(f"rows of {name}")
-        writer = star.table(name).observe(watch, F.count(F.lit(1)).alias("n")).write.mode("append").format("parquet")
-        if buckets and name in BUCKETED:
-            writer = writer.bucketBy(buckets, BUCKETED[name]).sortBy(BUCKETED[name])
-        writer.saveAsTable(f"{database}.{name}")
-        loaded, found = watch.get["n"], spark.table(target).count() - before
-        if loaded != found:
-            raise RuntimeError(f"row count differs for {name}: loaded {loaded}, found {found}")
-        counts[name] = found
-    return counts
+    exists = lambda name: spark.catalog.tableExists(f"{database}.{name}")
+    listed = spark.table(f"`{database}`.{MANIFEST}") if exists(MANIFEST) else spark.createDataFrame([], _MANIFEST_SCHEMA)
+    if batch is not None:
+        known = {r["table_name"]: r["rows"] for r in listed.where(F.col("batch") == batch).collect()}
+        if set(names) <= set(known):
+            return {name: known[name] for name in names}
+    counts, added = {}, {}
+    for name in names:
+        fresh = star.table(name)
+        old = spark.table(f"`{database}`.`{name}`") if mode == "append" and exists(name) else None
+        before = old.count() if old is not None else 0
+        rows = fresh if old is None else old.unionByName(fresh)
+        counts[name] = _staged(spark, rows, f"`{database}`.`{name}__staged`", buckets, BUCKETED.get(name))
+        added[name] = counts[name] - before
+    entries = spark.createDataFrame([(batch, name, n) for name, n in added.items()], _MANIFEST_SCHEMA)
+    _staged(spark, listed.unionByName(entries), f"`{database}`.`{MANIFEST}__staged`", None, None)
+    for name in [*names, MANIFEST]:
+        # Renames alone: the old table steps aside and goes when the new one has its name.
+        spark.sql(f"drop table if exists `{database}`.`{name}__old`")
+        if exists(name):
+            spark.sql(f"alter table `{database}`.`{name}` rename to `{database}`.`{name}__old`")
+        spark.sql(f"alter table `{database}`.`{name}__staged` rename to `{database}`.`{name}`")
+        spark.sql(f"drop table if exists `{database}`.`{name}__old`")
+    return added
 
 
 def warehouse_star(spark: SparkSession, database: str) -> Star:

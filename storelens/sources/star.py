@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from storelens.functions.columns import cents, money
 from storelens.sources.schemas import TABLES, table_schema
@@ -49,6 +50,20 @@ def require_unique(df: DataFrame, key: list[str], name: str) -> DataFrame:
     return df
 
 
+def merged_once(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
+    """``left`` with the columns of ``right`` (unique on ``key``), asserted one to one inside the plan.
+
+    Rows of ``left`` are counted per key behind the join, whose shuffle and order serve the count too. A
+    repeated key raises an error as soon as a column of ``right`` is read for it; a plan that reads none
+    loses join and count alike.
+    """
+    added = [c for c in right.columns if c != key]
+    counted = left.join(right, key, "left").withColumn("_rows", F.count("*").over(Window.partitionBy(key)))
+    repeated = F.raise_error(F.concat(F.lit(f"{name} is not unique on {key}: "), F.col(key).cast("string")))
+    kept = [F.when((F.col("_rows") > 1) & F.col(key).isNotNull(), repeated).otherwise(F.col(c)).alias(c) if c in added else F.col(c) for c in counted.columns if c != "_rows"]
+    return counted.select(*kept)
+
+
 class Star:
     """Base class: subclasses say where each table comes from; tables open on first use."""
 
@@ -94,15 +109,15 @@ class Star:
     def orders_with_totals(self) -> DataFrame:
         """Every order with its line totals; the totals are null for an order without lines.
 
-        Both sides are unique on ``order_id``, so the join cannot fan out or skew. A plan that asks
-        for totals to be present becomes an inner join; one that reads no total drops the join.
+        Both sides are unique on ``order_id``, which the plan asserts where it reads totals, so the join cannot
+        fan out or skew. A plan that reads no total drops the join.
         """
         return self.narrowed_orders_with_totals(lambda orders: orders)
 
     def narrowed_orders_with_totals(self, narrow: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """``orders_with_totals`` of the orders that ``narrow`` leaves, which it sees before they meet
         their lines. It may read keys and the order time."""
-        return narrow(self.orders).join(order_totals(self.order_items), "order_id", "left")
+        return merged_once(narrow(self.orders), order_totals(self.order_items), "order_id", "fact_orders")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, SHORT_NAMES[name])
@@ -159,6 +174,6 @@ def read_parquet_star(spark: SparkSession, folder: str) -> Star:
 
 
 __all__ = [
-    "RepeatedKey", "Star", "TableStar", "order_totals", "require_unique", "read_csv_star", "read_csv_table", "read_parquet_star",
+    "RepeatedKey", "Star", "TableStar", "merged_once", "order_totals", "require_unique", "read_csv_star", "read_csv_table", "read_parquet_star",
     "table_schema",
 ]

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from conftest import DATA
 from storelens.batch import QualityFailed, run_batch
-from storelens.plans import business, quality, views
+from storelens.plans import business, marts, quality, views
 from storelens.session import shared_folder, write_once
-from storelens.sources import MappedStar, publish, read_csv_star, read_parquet_star
+from storelens.sources import MappedStar, TableStar, publish, read_csv_star, read_parquet_star
 from storelens.sources.schemas import TABLES, table_schema
 from storelens.sources.star import RepeatedKey
 
@@ -124,6 +124,49 @@ def test_warehouse_load_is_bucketed_and_reconciled(spark, star):
     spark.sql("drop database shop cascade")
 
 
+def test_a_batch_is_loaded_once(spark, star):
+    first = publish.load_tables(star, "once", batch="b1")
+    again = publish.load_tables(star, "once", mode="append", batch="b1")
+    assert again == first and set(first) == set(TABLES) and spark.table("once.fact_orders").count() == 1500
+    publish.load_tables(star, "once", mode="append", batch="b2", tables=["dim_stores"])
+    listed = {(r["batch"], r["table_name"]): r["rows"] for r in spark.table("once.load_manifest").collect()}
+    assert listed["b1", "fact_order_items"] == 6000 and listed["b2", "dim_stores"] == 10 and len(listed) == 9
+    assert spark.table("once.dim_stores").count() == 20
+    spark.sql("drop database once cascade")
+
+
+def test_a_fault_in_one_table_leaves_the_old_data(spark, star):
+    publish.load_tables(star, "fault", tables=["dim_stores", "dim_products"])
+    broken = {name: star.table(name).limit(3) for name in TABLES}
+    broken["dim_products"] = star.products.withColumn("unit_cost", F.raise_error(F.lit("no such file")).cast("decimal(10,2)"))
+    with pytest.raises(Exception, match="no such file"):
+        publish.load_tables(TableStar(spark, broken), "fault")
+    assert spark.table("fault.dim_stores").count() == 10 and spark.table("fault.dim_products").count() == star.products.count()
+    assert not spark.catalog.tableExists("fault.fact_orders")
+    counts = publish.load_tables(star, "fault")
+    assert counts["fact_orders"] == 1500 and len([t for t in spark.catalog.listTables("fault") if "__" in t.name]) == 0
+    spark.sql("drop database fault cascade")
+
+
+@pytest.mark.parametrize("build", [views.order_economics, business.q01_exec_snapshot, views.daily_store_kpis, marts.executive_kpis])
+def test_a_repeated_order_stops_every_plan_that_prices_orders(make_star, build):
+    star = make_star(orders=[dict(order_id="a"), dict(order_id="a"), dict(order_id="b")])
+    with pytest.raises(Exception, match="fact_orders is not unique on order_id: a"):
+        build(star).collect()
+
+
+def test_the_assertion_moves_nothing_again(spark, make_star):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = make_star(orders=[dict(order_id="a"), dict(order_id="b")])
+        text = views.order_economics(star)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange") == 2 and text.count("Window") >= 1
+        free = star.orders_with_totals.select("order_id", "status")._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in free and "Window" not in free
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_parquet_star(spark, star, tmp_path):
     for name in TABLES:
         star.table(name).write.parquet(str(tmp_path / name))

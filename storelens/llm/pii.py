@@ -6,8 +6,12 @@ What fails its check hides nothing that starts inside it:
 
 - card numbers keep length, separators and a right Luhn digit, IBANs their country and check digits
 - dates stay dates of 1900-2099 in their own layout, US social security numbers stay assignable
-- IPv4 addresses stay addresses, phone numbers keep their country code and layout
-- e-mail addresses and keys keep length, case, digits, punctuation and the last domain label
+- IP addresses stay addresses, phone numbers keep their country code and layout
+- e-mail addresses and keys keep length, case, digits, punctuation, the last domain label and a key's prefix;
+  a letter beyond ASCII stays one of its kind and of its row of 64 code points
+
+One day has one pseudonym in all layouts, but for month-first dates. Only a day over 12 shows that the month is
+first, and the pseudonym must show it too, so these are permuted among themselves, and their 29ths of February apart.
 
 A value is read as an array of small numbers, each below its own modulus. Eight rounds of a Feistel
 network add to one half the keyed hash of the other, position by position, so the map is a permutation
@@ -35,11 +39,14 @@ _IBANS = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n -
 # Four groups of a card number: a phone number before them ends there.
 _CARD = r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d"
 
+# How keys of services begin.
+TOKEN_PREFIXES = "AKIA|ASIA|[spr]k_(?:live|test)_|gh[pousr]_|github_pat_|glpat-|hf_|npm_"
 # The forms of personal data, as Java patterns.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,8}\.[A-Za-z]{2,}",
+    "email": r"(?<![\p{L}\p{N}\p{M}._%+-])[\p{L}\p{N}\p{M}._%+-]++@[\p{L}\p{N}\p{M}-]+(?:\.[\p{L}\p{N}\p{M}-]+){0,8}\.(?:[A-Za-z]{2,}|(?![A-Za-z])\p{L}[\p{L}\p{M}]+)",
     "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS}|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
-    "key": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])",
+    "key": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
+    "token": rf"(?<![A-Za-z0-9_-])(?:{TOKEN_PREFIXES})[0-9A-Za-z]{{16,}}+(?![A-Za-z0-9_-])",
     "phone": r"(?:(?<![\d+])\+?\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
              r"|(?<![\d+])\+\d{8,15}(?!\d)"
              rf"|(?<![\d+])\+\d{{1,3}}(?=[ .-])(?:(?:[ .-](?!{_CARD}))?\d){{7,12}}(?!\d)"
@@ -48,12 +55,17 @@ PATTERNS = {
              rf"|(?<![\d.-])[2-9]\d{{2}} (?!{_CARD})[2-9]\d{{2}}[ -](?!{_CARD})\d{{4}}(?![\d-])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])(?!\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
+    "ip6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![\w:])(?!\.\d)",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d)(?!\.\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}(?<sep>[ -])\d{4}\k<sep>\d{4}\k<sep>\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Days from 1900-01-01 to the end of 2099: 17 * 4297.
 FIRST_DAY, DAYS = "date'1900-01-01'", (17, 4297)
+# Days over 12 before each month of a common year, and of the year: month-first dates are 200 years of these, and 7 * 7
+# leap days from 1904 on.
+_BEFORE = "array(0, 19, 35, 54, 72, 91, 109, 128, 147, 165, 184, 202)"
+LATE_DAYS, LEAP_DAYS = (200, 221), (7, 7)
 
 
 def _text(value: str) -> str:
@@ -87,12 +99,24 @@ def _feistel(values: str, moduli: str, key: str) -> str:
     return _let("mods", moduli, rounds)
 
 
-_MODULUS = "case when c between '0' and '9' then 10 when c between 'a' and 'z' or c between 'A' and 'Z' or ascii(c) > 127 then 26 else 1 end"
+_KINDS = (r"\p{Ll}", r"\p{Lu}", r"\p{L}", r"\p{N}", r"\p{M}")
+
+
+def _alphabet() -> str:
+    """What a character c beyond ASCII may become: all of its kind in its row of 64 code points, c among them."""
+    row = "transform(sequence(ascii(c) div 64 * 64, ascii(c) div 64 * 64 + 63), x -> decode(unhex(lpad(hex(x), 8, '0')), 'UTF-32'))"
+    cases = " ".join(f"when c rlike {_text(f'^{kind}$')} then filter({row}, y -> y rlike {_text(f'^{kind}$')}{besides})"
+                     for kind, besides in zip(_KINDS, ["", "", r" and not y rlike '^[\\p{Ll}\\p{Lu}]$'", "", ""]))
+    return f"case {cases} else array(c) end"
+
+
+_MODULUS = ("case when c between '0' and '9' then 10 when c between 'a' and 'z' or c between 'A' and 'Z' then 26 "
+            f"when ascii(c) > 127 then size({_alphabet()}) else 1 end")
 _VALUE = ("case when c between '0' and '9' then ascii(c) - 48 when c between 'a' and 'z' then ascii(c) - 97 "
-          "when c between 'A' and 'Z' then ascii(c) - 65 when ascii(c) > 127 then ascii(c) % 26 else 0 end")
+          f"when c between 'A' and 'Z' then ascii(c) - 65 when ascii(c) > 127 then int(array_position({_alphabet()}, c)) - 1 else 0 end")
 # A character of the class of c with the value v.
-_SPELLED = ("case when c between '0' and '9' then char(48 + v) when c between 'a' and 'z' or ascii(c) > 127 then char(97 + v) "
-            "when c between 'A' and 'Z' then char(65 + v) else c end")
+_SPELLED = ("case when c between '0' and '9' then char(48 + v) when c between 'a' and 'z' then char(97 + v) "
+            f"when c between 'A' and 'Z' then char(65 + v) when ascii(c) > 127 then {_alphabet()}[v] else c end")
 _HEX = "'0123456789abcdef'"
 
 
@@ -112,9 +136,12 @@ def _remainder97(text: str) -> str:
 # the numbers of the parts, flat an IBAN without blanks, body the characters that are permuted, q the
 # permuted values. A kind's values are an array of small numbers, each with its own modulus.
 
+_LEAP = "n[1] = 2 and n[2] = 29"
+
+
 def _kind() -> str:
     cases = [f"when m rlike {_text('^(?:' + PATTERNS[k] + ')$')} then '{k}'" for k in PATTERNS]
-    return "case when m rlike '^AKIA[0-9A-Z]{16}$' then 'akia' " + " ".join(cases) + " end"
+    return f"case {' '.join(cases)} end"
 
 
 def _numbers() -> str:
@@ -128,6 +155,7 @@ def _valid() -> str:
             "then n[2] <= day(last_day(make_date(n[0], n[1], 1))) else false end")
     moved = "concat(substring(flat, 5), substring(flat, 1, 4))"
     return (f"case k when 'card' then {_luhn('ds')} = 0 when 'iban' then {_remainder97(moved)} = 1 when 'date' then {date} "
+            "when 'ip6' then size(filter(split(m, ':'), g -> g <> '')) < 8 or not contains(m, '::') "
             "when 'ssn' then n[0] between 1 and 899 and n[0] <> 666 and n[1] > 0 and n[2] > 0 when 'ip' then forall(n, o -> o < 256) else true end")
 
 
@@ -135,16 +163,19 @@ def _values() -> str:
     day = f"datediff(make_date(n[0], n[1], n[2]), {FIRST_DAY})"
     area = "case when n[0] > 666 then n[0] - 2 else n[0] - 1 end"
     return (f"case k when 'card' then slice(ds, 1, size(ds) - 1) when 'ip' then n when 'ssn' then array({area}, n[1] - 1, n[2] - 1) "
-            f"when 'date' then array(int({day} div {DAYS[1]}), {day} % {DAYS[1]}) "
-            f"when 'key' then transform(cs, c -> instr({_HEX}, lower(c)) - 1) else transform(body, c -> {_VALUE}) end")
+            f"when 'date' then case when lay <> 'mdy' then array(int({day} div {DAYS[1]}), {day} % {DAYS[1]}) "
+            f"when {_LEAP} then array(int((n[0] - 1904) div 4 div {LEAP_DAYS[1]}), (n[0] - 1904) div 4 % {LEAP_DAYS[1]}) "
+            f"else array(n[0] - 1900, {_BEFORE}[n[1] - 1] + n[2] - 13) end "
+            f"when 'ip6' then transform(cs, c -> greatest(instr({_HEX}, lower(c)) - 1, 0)) when 'key' then transform(cs, c -> instr({_HEX}, lower(c)) - 1) else transform(body, c -> {_VALUE}) end")
 
 
 def _moduli() -> str:
     """The country code of a phone number, the last label of an address and a key's prefix stay."""
-    first = r"case k when 'phone' then length(regexp_extract(m, '^\\+\\d{1,3}(?=[ .(-])|^\\+\\d{2}', 0)) when 'akia' then 4 else 0 end"
-    last = r"case when k = 'email' then size(body) - length(regexp_extract(m, '\\.[A-Za-z]+$', 0)) else size(body) end"
+    first = r"case k when 'phone' then length(regexp_extract(m, '^\\+\\d{1,3}(?=[ .(-])|^\\+\\d{2}', 0)) when 'token' then length(regexp_extract(m, '^(?:" + TOKEN_PREFIXES + r")', 0)) else 0 end"
+    last = r"case when k = 'email' then size(body) - length(regexp_extract(m, '\\.[^.@]+$', 0)) else size(body) end"
     return (f"case k when 'card' then array_repeat(10, size(ds) - 1) when 'ip' then array(256, 256, 256, 256) when 'ssn' then array(898, 99, 9999) "
-            f"when 'date' then array({DAYS[0]}, {DAYS[1]}) when 'key' then array_repeat(16, size(cs)) "
+            f"when 'date' then case when lay <> 'mdy' then array({DAYS[0]}, {DAYS[1]}) when {_LEAP} then array({LEAP_DAYS[0]}, {LEAP_DAYS[1]}) "
+            f"else array({LATE_DAYS[0]}, {LATE_DAYS[1]}) end when 'ip6' then transform(cs, c -> case when c = ':' then 1 else 16 end) when 'key' then array_repeat(16, size(cs)) "
             f"else transform(body, (c, i) -> case when i < {first} or i >= {last} then 1 else {_MODULUS} end) end")
 
 
@@ -156,7 +187,11 @@ def _spelling() -> str:
     hexes = f"array_join(transform(q, v -> substring({_HEX}, v + 1, 1)), '')"
     part = lambda value, i: f"lpad(string({value}), greatest(length(p[{i}]), length(string({value}))), '0')"
     sep = "regexp_extract(m, '[-/.]', 0)"
-    date = _let("made", f"date_add({FIRST_DAY}, q[0] * {DAYS[1]} + q[1])",
+    month = f"size(filter({_BEFORE}, b -> b <= q[1]))"
+    late = f"make_date(1900 + q[0], {month}, q[1] - {_BEFORE}[{month} - 1] + 13)"
+    leap = f"make_date(1904 + 4 * (q[0] * {LEAP_DAYS[1]} + q[1]), 2, 29)"
+    hex6 = f"array_join(zip_with(cs, q, (c, v) -> case when c = ':' then c when c between 'A' and 'F' then upper(substring({_HEX}, v + 1, 1)) else substring({_HEX}, v + 1, 1) end), '')"
+    date = _let("made", f"case when lay <> 'mdy' then date_add({FIRST_DAY}, q[0] * {DAYS[1]} + q[1]) when {_LEAP} then {leap} else {late} end",
                 f"case lay when 'ymd' then date_format(made, 'yyyy-MM-dd') "
                 f"when 'mdy' then concat_ws({sep}, {part('month(made)', 0)}, {part('day(made)', 1)}, string(year(made))) "
                 f"else concat_ws({sep}, {part('day(made)', 0)}, {part('month(made)', 1)}, string(year(made))) end")
@@ -165,7 +200,7 @@ def _spelling() -> str:
     iban = _let("made", f"concat(substring(flat, 1, 2), {check}, plain)",
                 "array_join(transform(cs, (c, at) -> case when c = ' ' then c else substring(made, size(filter(slice(cs, 1, at + 1), ch -> ch <> ' ')), 1) end), '')")
     other = f"case when k = 'iban' then {iban} else plain end"
-    return (f"case k when 'card' then {card} when 'ip' then array_join(transform(q, o -> string(o)), '.') when 'ssn' then {ssn} "
+    return (f"case k when 'card' then {card} when 'ip' then array_join(transform(q, o -> string(o)), '.') when 'ssn' then {ssn} when 'ip6' then {hex6} "
             f"when 'date' then {date} when 'key' then case when m = upper(m) then upper({hexes}) else {hexes} end else {_let('plain', plain, other)} end")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import warnings
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -77,7 +78,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def secret_of(spark: SparkSession) -> str:
-    return spark.conf.get(SECRET_SETTING, SECRET)
+    """The key of pseudonyms; a run without its own is warned that a public one is taken."""
+    secret = spark.conf.get(SECRET_SETTING, "")
+    if not secret:
+        warnings.warn(f"{SECRET_SETTING} is not set: pseudonyms under the public default key can be undone", stacklevel=2)
+    return secret or SECRET
 
 
 def tokenizer_path() -> str:

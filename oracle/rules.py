@@ -73,14 +73,29 @@ def columns(table: str) -> list[tuple[str, str, bool, int | None]]:
     return found
 
 
-def violation_counts() -> list[str]:
-    """One select per rule: table, reported name, number of rows that break it."""
+def row_rules() -> list[tuple[str, str, str]]:
+    """Table, reported name and the condition of a row that breaks it."""
     rules = []
     for table in COLUMNS:
         rules += [(table, f"{c}_not_null", f"{c} is null") for c, _, nullable, _ in columns(table) if not nullable]
         rules += [(table, f"{c}_length", f"length(cast({c} as varchar)) > {most}") for c, _, _, most in columns(table) if most]
-    rules += [(table, name, f"not ({condition})") for table, name, condition in CONDITIONS]
-    return [f"select '{t}' as table_name, '{n}' as rule, count(*) filter ({bad}) as violations from {t}" for t, n, bad in rules]
+    return rules + [(table, name, f"not ({condition})") for table, name, condition in CONDITIONS]
+
+
+def violation_counts() -> list[str]:
+    """One select per rule: table, reported name, number of rows that break it."""
+    return [f"select '{t}' as table_name, '{n}' as rule, count(*) filter ({bad}) as violations from {t}" for t, n, bad in row_rules()]
+
+
+def violation_samples(samples: int = 4) -> list[str]:
+    """The same with the smallest key of each hash class of keys of such rows."""
+    parts = []
+    for table, rule, bad in row_rules():
+        key = "concat_ws('|', " + ", ".join(f"coalesce(cast({c.strip()} as varchar), '')" for c in KEYS[table].split(",")) + ")"
+        least = f"select min(k) as k from (select {key} as k from {table} where {bad}) group by cast('0x' || left(md5(k), 8) as bigint) % {samples}"
+        parts.append(f"select '{table}' as table_name, '{rule}' as rule, (select count(*) from {table} where {bad}) as violations, "
+                     f"coalesce((select string_agg(k, ',' order by k) from ({least})), '') as sample")
+    return parts
 
 
 def type_checks() -> list[str]:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from storelens.plans import marts, quality
 from storelens.session import scratch, write_once
 from storelens.sources import publish
-from storelens.sources.star import Star
+from storelens.sources.star import CsvBundle, Star
 
 
 class QualityFailed(RuntimeError):
@@ -20,13 +20,19 @@ def run_batch(star: Star, folder: str, form: str = "parquet", by_date: bool = Fa
 
     With ``strict`` a failed check stops the run after its report is written. Further options go to
     ``quality_report``; ``metadata`` is the path of the bundle's JSON, whose stated order count the
-    report compares. Intermediate tables are removed at the end. Orders are priced once for marts, figures and memo. Returns the published row counts.
+    report compares. A ``CsvBundle`` adds its unreadable records, and every count that its JSON states. The report
+    keeps up to ``samples`` keys of violating rows per check. Intermediate tables are removed at the end. Orders are priced once for marts, figures and memo. Returns the published row counts.
     """
     folder = folder.rstrip("/")
     with scratch(star.spark):
         if metadata and "expected_orders" not in quality_options:
             quality_options["expected_orders"] = quality.expected_row_count(star.spark, metadata)
-        report = write_once(quality.quality_report(star, **quality_options), "quality")
+        quality_options.setdefault("samples", quality.SAMPLES)
+        report = quality.quality_report(star, **quality_options)
+        if isinstance(star, CsvBundle):
+            checks = quality.bundle_checks(star, metadata, quality_options["samples"])
+            report = report.unionByName(checks if "sample" in report.columns else checks.drop("sample"))
+        report = write_once(report, "quality")
         publish.write_quality_report(report, f"{folder}/quality_report")
         failed = [r["check"] for r in report.where("not passed").select("check").collect()]
         if failed and strict:

@@ -123,6 +123,10 @@ class Star:
         return getattr(self, SHORT_NAMES[name])
 
 
+# Holds the record of a CSV line with an unreadable cell.
+UNREADABLE = "_unreadable"
+
+
 class TableStar(Star):
     """A star over given DataFrames; absent tables are an error only when used."""
 
@@ -145,22 +149,37 @@ class _CsvStar(_FileStar):
         return read_csv_table(self.spark, f"{self.folder}/{name}.csv", name)
 
 
+class CsvBundle(_FileStar):
+    """A CSV star that reports unreadable cells in place of stopping at them: such a cell is null in the
+    tables, and ``with_unreadable`` shows its whole record."""
+
+    def open(self, name: str) -> DataFrame:
+        return self.with_unreadable(name).drop(UNREADABLE)
+
+    def with_unreadable(self, name: str) -> DataFrame:
+        return read_csv_table(self.spark, f"{self.folder}/{name}.csv", name, unreadable=UNREADABLE)
+
+
 class _ParquetStar(_FileStar):
     def open(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}")
 
 
-def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, name: str, unreadable: str | None = None) -> DataFrame:
     """One CSV file (or folder of part files) under its declared schema; the header names columns.
 
     Columns are matched by header name, so files may order them differently or leave some out.
-    Nothing is inferred from the data: only the header line is read here.
+    Nothing is inferred from the data: only the header line is read here. A cell that does not fit its type
+    stops the job; with ``unreadable`` it is null, and the column of that name holds its whole record, if the
+    query reads that cell.
     """
     kinds = TABLES[name].column_types()
     present = spark.read.csv(path, header=True, inferSchema=False).columns
     text = ", ".join(f"`{c}` {kinds.get(c, 'string')}" for c in present)
     reader = spark.read.schema(text).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]")
-    return reader.csv(path, header=True, enforceSchema=False, mode="FAILFAST")
+    if unreadable is None:
+        return reader.csv(path, header=True, enforceSchema=False, mode="FAILFAST")
+    return reader.schema(f"{text}, `{unreadable}` string").csv(path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=unreadable)
 
 
 def read_csv_star(spark: SparkSession, folder: str) -> Star:
@@ -168,12 +187,17 @@ def read_csv_star(spark: SparkSession, folder: str) -> Star:
     return _CsvStar(spark, folder)
 
 
+def read_csv_bundle(spark: SparkSession, folder: str) -> CsvBundle:
+    """Star over ``<folder>/<table>.csv`` that keeps unreadable records for the checks."""
+    return CsvBundle(spark, folder)
+
+
 def read_parquet_star(spark: SparkSession, folder: str) -> Star:
     """Star over ``<folder>/<table>`` parquet folders, as ``load_tables`` or a warehouse wrote them."""
     return _ParquetStar(spark, folder)
 
 
 __all__ = [
-    "RepeatedKey", "Star", "TableStar", "merged_once", "order_totals", "require_unique", "read_csv_star", "read_csv_table", "read_parquet_star",
+    "CsvBundle", "RepeatedKey", "Star", "UNREADABLE", "read_csv_bundle", "TableStar", "merged_once", "order_totals", "require_unique", "read_csv_star", "read_csv_table", "read_parquet_star",
     "table_schema",
 ]

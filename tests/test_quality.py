@@ -139,3 +139,32 @@ def test_overlong_references_are_found(make_star, table, column, place):
     tables[place][0] = {**tables[place][0], column: "x" * 40}
     broken = quality.constraint_violations(make_star(**tables), [table]).where("not passed").collect()
     assert [(r["rule"], r["violations"]) for r in broken] == [(f"{column}_length", 1)]
+
+
+SAMPLED = {
+    "customer primary key": ["c1"], "order customer foreign key": ["nobody"], "item order foreign key": ["ghost"], "GMV reconciles to items": ["o1"],
+    "valid order status": ["o1"], "non-negative financials": ["o1"], "logical session funnel": ["Treatment99"], "converted sessions link to orders": ["ghost"],
+}
+
+
+@pytest.mark.parametrize("check", list(SAMPLED))
+def test_a_failed_check_names_its_rows(make_star, check):
+    tables = base()
+    PLANTED[check](tables)
+    rows = {r["check"]: r for r in quality.quality_report(make_star(**tables), expected_orders=12, samples=4).collect()}
+    if check == "logical session funnel":
+        assert len(rows[check]["sample"]) == 1
+    else:
+        assert rows[check]["sample"] == SAMPLED[check]
+    assert all(r["sample"] == [] for r in rows.values() if r["passed"])
+
+
+def test_samples_are_bounded_and_cost_no_scan(make_star):
+    tables = base()
+    tables["orders"] = [{**o, "status": "Lost", "order_id": f"x{k}{o['order_id']}"} for k in range(5) for o in tables["orders"]]
+    star = make_star(**tables)
+    kept = {r["check"]: r["sample"] for r in quality.quality_report(star, samples=3).collect()}["valid order status"]
+    assert len(kept) == 3 and kept == sorted(set(kept)) and set(kept) <= {o["order_id"] for o in tables["orders"]}
+    exchanges = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+    assert exchanges(quality.constraint_violations(star, samples=3)) == exchanges(quality.constraint_violations(star))
+    assert exchanges(quality.quality_report(star, samples=3)) == exchanges(quality.quality_report(star))

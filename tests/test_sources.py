@@ -8,7 +8,7 @@ from conftest import DATA
 from storelens.batch import QualityFailed, run_batch
 from storelens.plans import business, marts, quality, views
 from storelens.session import shared_folder, write_once
-from storelens.sources import MappedStar, TableStar, publish, read_csv_star, read_parquet_star
+from storelens.sources import MappedStar, TableStar, publish, read_csv_bundle, read_csv_star, read_parquet_star
 from storelens.sources.schemas import TABLES, table_schema
 from storelens.sources.star import RepeatedKey
 
@@ -203,3 +203,26 @@ def test_the_stated_order_count_is_compared(make_star, tmp_path):
     (tmp_path / "metadata.json").write_text('{"row_counts": {"fact_orders": 7}}')
     with pytest.raises(QualityFailed, match="metadata order count"):
         run_batch(make_star(), str(tmp_path / "out"), metadata=str(tmp_path / "metadata.json"))
+
+
+def test_a_bundle_tells_unreadable_records(spark, star, bundle, tmp_path):
+    for name in TABLES:
+        (tmp_path / f"{name}.csv").write_text((bundle / f"{name}.csv").read_text())
+    lines = (tmp_path / "fact_orders.csv").read_text().splitlines()
+    at = lines[0].split(",").index("promised_minutes")
+    cells = lines[7].split(",")
+    cells[at] = "soon"
+    lines[7] = ",".join(cells)
+    (tmp_path / "fact_orders.csv").write_text("\n".join(lines) + "\n")
+    stores, orders = star.stores.count(), star.orders.count()
+    (tmp_path / "meta.json").write_text(json.dumps({"seed": 1, "row_counts": {"dim_stores": stores + 1, "fact_orders": orders, "other": 3}}))
+    held = read_csv_bundle(spark, str(tmp_path))
+    rows = {r["check"]: r for r in quality.bundle_checks(held, str(tmp_path / "meta.json")).collect()}
+    assert len(rows) == 10
+    assert {c for c, r in rows.items() if not r["passed"]} == {"fact_orders: readable records", "dim_stores: stated rows"}
+    assert rows["fact_orders: readable records"]["sample"] == [lines[7]] and rows["dim_stores: stated rows"]["detail"] == f"stated={stores + 1};found={stores}"
+    # The broken cell is null in the table, and its not-null rule names the order.
+    broken = quality.constraint_violations(held, ["fact_orders"], samples=4).where("rule = 'promised_minutes_not_null'").first()
+    assert (broken["violations"], broken["sample"]) == (1, [cells[lines[0].split(",").index("order_id")]])
+    with pytest.raises(QualityFailed, match="fact_orders: readable records"):
+        run_batch(held, str(tmp_path / "out"), metadata=str(tmp_path / "meta.json"))

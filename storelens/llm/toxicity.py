@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -27,12 +27,12 @@ from storelens.llm.shared import column, hashed_sample, only, write_once
 
 # Bound of the sample that the model is fitted on, for each label.
 MOST_ROWS = 4000
-# Terms that the first count hands on, and the lengths of word beginnings that it counts.
-CANDIDATES, LENGTHS = 3000, range(3, 9)
+# The lengths of word beginnings that may become terms.
+LENGTHS = range(3, 9)
 # What a term must show: the logarithm of its odds ratio, and twice the logarithm of its likelihood ratio.
 LEAST_WEIGHT, LEAST_EVIDENCE = 2.0, 16.0
-# A task hands on its counts when it holds so many terms.
-HELD = 400_000
+# A task hands on what it found when it holds so many terms in context.
+HELD = 200_000
 
 # Letters of other scripts by the Latin letter they look like, and signs by the letter they stand for.
 HOMOGLYPHS = {
@@ -122,62 +122,40 @@ def labelled_sample(docs: DataFrame, rows: DataFrame, most_rows: int = MOST_ROWS
     return only(docs, ["doc_id", "text"]).join(sample, "doc_id").select("toxic", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``term, toxic, docs``: in how many texts of each label a word beginning occurs."""
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``term, toxic, context``: every word beginning with the word before it, hashed; once for many texts."""
+    found: set[tuple[str, int, int]] = set()
 
     def made():
-        rows = [(t, y, n) for y in (0, 1) for t, n in counts[y].items()]
-        for c in counts.values():
-            c.clear()
+        rows = list(found)
+        found.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()),
-             pa.array([r[2] for r in rows], pa.int64())], names=["term", "toxic", "docs"],
+             pa.array([r[2] for r in rows], pa.int64())], names=["term", "toxic", "context"],
         )
 
     for batch in batches:
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = set(fold(text).split())
-            counts[int(toxic == 1)].update({" " + w[:k] for w in words for k in LENGTHS if len(w) >= k})
-            if sum(map(len, counts.values())) > HELD:
-                yield made()
+            label, words = int(toxic == 1), fold(text).split()
+            for before, word in set(zip(["", *words], words)):
+                context = zlib.crc32(before.encode("utf-8", "surrogatepass"))
+                found.update([(" " + word[:k], label, context) for k in LENGTHS if len(word) >= k])
+                if len(found) > HELD:
+                    yield made()
     yield made()
 
 
-def _contexts(terms: list[str]):
-    machine = ahocorasick.Automaton()
-    for term in terms:
-        machine.add_word(term, term)
-    machine.make_automaton()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``term, toxic, context``: each term found with the word before it, once per text."""
-        for batch in batches:
-            rows = set()
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                folded = fold(text)
-                for end, term in machine.iter(folded):
-                    before = folded[max(0, end - len(term) - 24):end - len(term) + 1]
-                    rows.add((term, int(toxic == 1), before.split()[-1] if before.strip() else ""))
-            listed = list(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in listed], pa.string()), pa.array([r[1] for r in listed], pa.int32()),
-                 pa.array([r[2] for r in listed], pa.string())], names=["term", "toxic", "context"],
-            )
-
-    return run
-
-
-def surprise(a, n, b, m) -> float:
-    """Likelihood ratio of ``a`` of ``n`` against ``b`` of ``m`` occurrences."""
+def surprise(a: Column, n: int, b: Column, m: int) -> Column:
+    """Twice the logarithm of the likelihood ratio of ``a`` of ``n`` against ``b`` of ``m`` occurrences; 0 where nothing can be told."""
     def part(k, total, rate):
-        return (k * math.log(rate) if k else 0.0) + ((total - k) * math.log(1 - rate) if total > k else 0.0)
+        # Nothing times the logarithm of nothing is nothing.
+        return F.when(k > 0, k * F.log(rate)).otherwise(0.0) + F.when(total > k, (total - k) * F.log(1 - rate)).otherwise(0.0)
 
-    if not n or not m or not a + b:
-        return 0.0
-    a, b = min(a, n), min(b, m)
-    both = (a + b) / (n + m)
-    return 2 * (part(a, n, a / n) + part(b, m, b / m) - part(a, n, both) - part(b, m, both))
+    if not n or not m:
+        return F.lit(0.0)
+    a, b = F.least(a, F.lit(n)).cast("double"), F.least(b, F.lit(m)).cast("double")
+    both = (a + b) / float(n + m)
+    return F.when(a + b > 0, 2 * (part(a, F.lit(n), a / n) + part(b, F.lit(m), b / m) - part(a, F.lit(n), both) - part(b, F.lit(m), both))).otherwise(0.0)
 
 
 def best_cut(x: np.ndarray, y: np.ndarray, clean_weight: float) -> float:
@@ -213,10 +191,11 @@ def _slope(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn the lexicon and the logistic from rows that are not held out.
 
-    A first count over the sample hands on the word beginnings that toxic texts hold more often. Of
-    these, the ones that occur after several different words count: a word that many copies of one
-    text repeat has one context only. Of beginnings that extend each other the best one stays. No
-    labels, or labels of one kind only, give an empty lexicon, which scores every text below a half.
+    Each word beginning of the sample counts once after each different word, since a word that many
+    copies of one text repeat has one context only. Every beginning whose counts show enough weight
+    and evidence for the label becomes a term, however many there are; of beginnings that extend each
+    other the best one stays. No labels, or labels of one kind only, give an empty lexicon, which
+    scores every text below a half.
     """
     rows = learnable(labels)
     sample = write_once(labelled_sample(docs, rows, most_rows), "toxicity-sample")
@@ -226,29 +205,24 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, exceptio
     lexicon = Lexicon(exceptions=exceptions)
     if not pos or not neg:
         return lexicon
-    side = lambda y: F.sum(F.when(F.col("toxic") == y, F.col("docs")).otherwise(0))
-    counted = sample.mapInArrow(_count_terms, "term string, toxic int, docs long").groupBy("term").agg(side(1).alias("a"), side(0).alias("b"))
-    lift = F.log((F.col("a") + 0.5) / (pos + 1)) - F.log((F.col("b") + 0.5) / (neg + 1))
-    # The size of the model is bounded: the terms that speak most for the label.
-    top = counted.where("a >= 3").withColumn("lift", lift).where("lift > 0.7").orderBy(F.desc(F.col("a") * F.col("lift")), "term").limit(CANDIDATES)
-    terms = [r["term"] for r in top.select("term").collect()]
-    if not terms:
-        return lexicon
     words = {r["toxic"]: r["n"] for r in sample.groupBy("toxic")
              .agg(F.sum(F.size(F.split("text", r"\s+"))).alias("n")).collect()}
-    seen = sample.mapInArrow(_contexts(terms), "term string, toxic int, context string").distinct()
-    spread = seen.groupBy("term").agg(
-        F.count(F.when(F.col("toxic") == 1, 1)).alias("a"), F.count(F.when(F.col("toxic") == 0, 1)).alias("b")).collect()
-    least, ranked = max(4, round(0.01 * pos)), []
-    for term, a, b in spread:
-        weight = math.log((a + 0.5) / words[1]) - math.log((b + 0.5) / words[0])
-        evidence = surprise(a, words[1], b, words[0])
-        if a >= least and weight > LEAST_WEIGHT and evidence > LEAST_EVIDENCE:
-            # Of terms of nearly the same evidence, the longer one is the more exact.
-            ranked.append((round(20 * math.log(evidence)), len(term), term, weight))
+    seen = sample.mapInArrow(_contexts, "term string, toxic int, context long").distinct()
+    spread = seen.groupBy("term").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count_if(F.col("toxic") == 0).alias("b"))
+    weight = F.log((F.col("a") + 0.5) / words[1]) - F.log((F.col("b") + 0.5) / words[0])
+    shown = spread.select("term", weight.alias("weight"), surprise(F.col("a"), words[1], F.col("b"), words[0]).alias("evidence"))
+    # The sample's bound is the bound of what is collected here.
+    shown = shown.where((F.col("weight") > LEAST_WEIGHT) & (F.col("evidence") > LEAST_EVIDENCE)).collect()
+    # Of terms of nearly the same evidence, the longer one is the more exact.
+    ranked = [(round(20 * math.log(r["evidence"])), len(r["term"]), r["term"], r["weight"]) for r in shown]
+    longer: set[str] = set()
     for _, _, term, weight in sorted(ranked, reverse=True):
-        if not any(term.startswith(t) or t.startswith(term) for t in lexicon.terms):
+        begins = [term[:k] for k in range(1, len(term) + 1)]
+        if term not in longer and not any(t in lexicon.terms for t in begins):
             lexicon.terms[term] = round(weight, 4)
+            longer.update(begins)
+    if not lexicon.terms:
+        return lexicon
     known = sample.select("toxic", strength_column(lexicon, F.col("text")).alias("x")).toPandas()
     x, y = known["x"].to_numpy(float), known["toxic"].to_numpy(int)
     # The slope is the logistic's, the half is where the labels part with the fewest errors.

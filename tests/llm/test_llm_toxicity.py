@@ -61,3 +61,30 @@ def test_corner_rows(spark):
     none = tox.fit(docs, labels.limit(0))
     assert none.terms == {} and all(r["predicted"] == 0 for r in tox.toxicity(docs, none).collect())
     assert tox.toxicity(empty(spark), lexicon).count() == 0
+
+
+def test_evidence_alone_decides(spark):
+    # One toxic word is common, one stands in one toxic text of twenty: under any share or place in a list, and learned all the same.
+    words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in ("rn", "lt", "mp", "sk", "nd")]
+    say = lambda k, extra: " ".join([*(words[(k * 7 + i * 13 + i * k) % 100] for i in range(40)), *(x for e in extra for x in (words[(k // 20 * 37 + len(e)) % 100], e))])
+    rows = [(k, say(k, ["snorkface"] if k % 20 else ["quibble"]), 1) for k in range(0, 400)]
+    rows += [(k, say(k, []), 0) for k in range(1000, 2000)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    lexicon = tox.fit(docs, labels)
+    assert {t.strip()[:3] for t in lexicon.terms} == {"sno", "qui"}
+    rare = tox.toxicity(docs, lexicon).where("doc_id < 400 and doc_id % 20 = 0").collect()
+    assert len(rare) == 20 and all(r["predicted"] == 1 for r in rare)
+
+
+def test_surprise(spark):
+    def plain(a, n, b, m):
+        log = lambda k, total: k * np.log(k / total) if k else 0.0
+        both = (a + b, n + m - a - b)
+        return 2 * (log(a, n) + log(n - a, n) + log(b, m) + log(m - b, m) - log(both[0], n + m) - log(both[1], n + m))
+
+    cases = [(5, 100, 0, 900), (0, 100, 7, 900), (100, 100, 0, 900), (30, 100, 270, 900), (100, 100, 900, 900), (0, 100, 0, 900)]
+    df = spark.createDataFrame([(k, a, b) for k, (a, _, b, _) in enumerate(cases)], "k int, a long, b long")
+    found = {r["k"]: r["s"] for r in df.select("k", tox.surprise(F.col("a"), 100, F.col("b"), 900).alias("s")).collect()}
+    for k, case in enumerate(cases):
+        assert found[k] == pytest.approx(plain(*case) if 0 < case[0] + case[2] < 1000 else 0.0, abs=1e-6)

@@ -21,7 +21,9 @@ and nobody without the key can go back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.shared import apart, column
@@ -204,59 +206,75 @@ def _spelling() -> str:
             f"when 'date' then {date} when 'key' then case when m = upper(m) then upper({hexes}) else {hexes} end else {_let('plain', plain, other)} end")
 
 
-def _pseudonym(key: str) -> str:
-    """SQL for the pseudonym of the variable ``m``, null where it fails its check."""
+def _facts(key: str) -> list[dict[str, str]]:
+    """What is found about a candidate, step by step: SQL by variable, over the variables of earlier steps. The last
+    one, s, is its pseudonym, null where it fails its check."""
     layout = "case when k = 'date' then case when m like '____-%' then 'ymd' when int(p[1]) > 12 then 'mdy' else 'dmy' end end"
-    body = "case when k = 'iban' then slice(filter(cs, ch -> ch <> ' '), 5, size(cs)) else cs end"
-    made = _let("body", body, _let("q", _feistel(_values(), _moduli(), key), _spelling()))
-    steps = [
-        ("k", _kind()), ("cs", _chars("m")), ("ds", f"case when k = 'card' then {_digits('m')} end"),
-        ("p", "case when k in ('date', 'ssn', 'ip') then split(m, '[-/.]') end"), ("lay", layout), ("n", _numbers()),
-        ("flat", "case when k = 'iban' then replace(m, ' ', '') end"),
+    return [
+        {"cs": _chars("m"), "ds": f"case when k = 'card' then {_digits('m')} end", "p": "case when k in ('date', 'ssn', 'ip') then split(m, '[-/.]') end",
+         "flat": "case when k = 'iban' then replace(m, ' ', '') end"},
+        {"lay": layout, "body": "case when k = 'iban' then slice(filter(cs, ch -> ch <> ' '), 5, size(cs)) else cs end"},
+        {"n": _numbers()},
+        {"valid": _valid()},
+        {"vs": f"case when valid then {_values()} end", "ns": f"case when valid then {_moduli()} end"},
+        {"q": f"case when valid then {_feistel('vs', 'ns', key)} end"},
+        {"s": f"case when valid then {_spelling()} end"},
     ]
-    whole = f"case when {_valid()} then {made} end"
-    for name, value in reversed(steps):
-        whole = _let(name, value, whole)
-    return whole
 
 
-def pseudonyms(text_column: str, secret: str) -> Column:
-    """A struct ``text, found``: the text with valid personal data replaced, and how many values were.
+def _of_candidate(sql: str, variables: list[str]) -> str:
+    """``sql`` with the variables as fields of the struct j; string literals stay."""
+    words = rf"'(?:[^'\\]|\\.)*'|\b(?:{'|'.join(variables)})\b"
+    return re.sub(words, lambda found: found[0] if found[0].startswith("'") else f"j.{found[0]}", sql)
+
 
-    ``secret`` keys the permutation. Null stays null with nothing found. Values that fail their check
-    stay as they are.
+def _steps(text: str, secret: str, ms: str, ps: str, js: str, r: str) -> list[tuple[str, str]]:
+    """Columns that lead from a text to its new one, each with its SQL over those before it; names come quoted.
+
+    ``ms`` are the candidates, ``ps`` the pieces of the text, ``js`` has a struct for each candidate m: its piece and
+    what is found about it, and ``r`` is null where there is no candidate. As one nested expression they would cost the driver
+    1.5 GB to parse, and 90 MB for as long as it lives, since the parser keeps what it learned about each nesting.
     """
-    key = _text(secret)
-    # Candidates start where the pieces do, and may overlap; j is a candidate m with its piece p and its pseudonym s.
-    pieces = f"split(t, {_text(f'(?={ANY})')}, -1)"
-    judged = f"zip_with(ms, slice(ps, size(ps) - size(ms) + 1, size(ms)), (m, p) -> named_struct('m', m, 'p', p, 's', {_pseudonym(key)}))"
-    rest = "substring(j.p, length(j.m) + 1)"
+    # Candidates start where the pieces do, and may overlap.
+    some = f"size({ms}) > 0"
+    steps = [(js, f"case when {some} then zip_with({ms}, slice({ps}, size({ps}) - size({ms}) + 1, size({ms})), (m, piece) -> "
+                  f"named_struct('m', m, 'piece', piece, 'k', {_kind()})) end")]
+    known = ["m", "piece", "k"]
+    for facts in _facts(_text(secret)):
+        pairs = [f"'{name}', j.{name}" for name in known] + [f"'{name}', {_of_candidate(value, known)}" for name, value in facts.items()]
+        steps.append((js, f"transform({js}, j -> named_struct({', '.join(pairs)}))"))
+        known += facts
+    rest = "substring(j.piece, length(j.m) + 1)"
     # Where no valid value reaches into the next piece, each stands alone; else the first from the left cover what they reach.
-    alone = (f"named_struct('out', transform(js, j -> case when j.s is null then j.p else concat(j.s, {rest}) end), "
-             "'found', size(filter(js, j -> coalesce(j.s <> j.m, false))), 'skip', 0)")
-    step = ("case when a.skip > 0 then named_struct('out', concat(a.out, array(substring(j.p, a.skip + 1))), 'found', a.found, 'skip', greatest(a.skip - length(j.p), 0)) "
-            "when j.s is null then named_struct('out', concat(a.out, array(j.p)), 'found', a.found, 'skip', 0) "
-            f"else named_struct('out', concat(a.out, array(concat(j.s, {rest}))), 'found', a.found + int(j.s <> j.m), 'skip', greatest(length(j.m) - length(j.p), 0)) end")
-    chained = f"aggregate(js, named_struct('out', cast(array() as array<string>), 'found', 0, 'skip', 0), (a, j) -> {step})"
-    resolved = f"case when exists(js, j -> j.s is not null and length(j.m) > length(j.p)) then {chained} else {alone} end"
-    joined = "concat(case when size(ps) > size(ms) then ps[0] else '' end, array_join(r.out, ''))"
-    made = _let("ps", pieces, _let("js", judged, _let("r", resolved, f"named_struct('text', {joined}, 'found', r.found)")))
-    found = _let("ms", f"regexp_extract_all(t, {_text(f'(?=({ANY}))')}, 1)", f"case when size(ms) > 0 then {made} else named_struct('text', t, 'found', 0) end")
-    # All forms have a digit or an at sign: most texts end here.
-    whole = f"case when t rlike '[0-9@]' then {found} else named_struct('text', t, 'found', 0) end"
-    return F.expr(_let("t", f"`{text_column}`", whole))
+    alone = (f"named_struct('out', transform({js}, j -> case when j.s is null then j.piece else concat(j.s, {rest}) end), "
+             f"'found', size(filter({js}, j -> coalesce(j.s <> j.m, false))), 'skip', 0)")
+    step = ("case when a.skip > 0 then named_struct('out', concat(a.out, array(substring(j.piece, a.skip + 1))), 'found', a.found, 'skip', greatest(a.skip - length(j.piece), 0)) "
+            "when j.s is null then named_struct('out', concat(a.out, array(j.piece)), 'found', a.found, 'skip', 0) "
+            f"else named_struct('out', concat(a.out, array(concat(j.s, {rest}))), 'found', a.found + int(j.s <> j.m), 'skip', greatest(length(j.m) - length(j.piece), 0)) end")
+    chained = f"aggregate({js}, named_struct('out', cast(array() as array<string>), 'found', 0, 'skip', 0), (a, j) -> {step})"
+    resolved = f"case when exists({js}, j -> j.s is not null and length(j.m) > length(j.piece)) then {chained} else {alone} end"
+    return [
+        # All forms have a digit or an at sign: most texts end here.
+        (ms, f"case when {text} rlike '[0-9@]' then regexp_extract_all({text}, {_text(f'(?=({ANY}))')}, 1) else cast(array() as array<string>) end"),
+        (ps, f"case when {some} then split({text}, {_text(f'(?={ANY})')}, -1) end"),
+        *steps,
+        (r, f"case when {some} then {resolved} end"),
+        (text, f"case when {some} then concat(case when size({ps}) > size({ms}) then {ps}[0] else '' end, array_join({r}.out, '')) else {text} end"),
+    ]
 
 
 def pseudonymise(docs: DataFrame, secret: str, text_column: str = "text", found_column: str = "n_found") -> DataFrame:
     """``docs`` with personal data in its text replaced and a count of replaced values, row by row.
 
-    All other columns stay, also where their names clash with ours; an empty table gives an empty one.
-    Null texts stay null with a count of 0.
+    ``secret`` keys the permutation. All other columns stay, also where their names clash with ours; an empty
+    table gives an empty one. Null texts stay null with a count of 0. Values that fail their check stay as they are.
     """
     names = [c for c in docs.columns if c != found_column]
-    read, pair = apart(docs, "__text"), apart(docs, "__made")
-    made = docs.withColumn(read, column(text_column)).withColumn(pair, pseudonyms(read, secret))
+    text, *others = (apart(docs, f"__{n}") for n in ("text", "ms", "ps", "js", "r"))
+    made = docs.withColumn(text, column(text_column))
+    for name, value in _steps(f"`{text}`", secret, *[f"`{n}`" for n in others]):
+        made = made.withColumn(name.strip("`"), F.expr(value))
     return made.select(
-        *[F.col(f"{pair}.text").alias(c) if c == text_column else column(c) for c in names],
-        F.coalesce(f"{pair}.found", F.lit(0)).cast("long").alias(found_column),
+        *[column(text).alias(c) if c == text_column else column(c) for c in names],
+        F.coalesce(f"{others[-1]}.found", F.lit(0)).cast("long").alias(found_column),
     )

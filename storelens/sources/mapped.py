@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from storelens.functions.columns import MONEY
+from storelens.operators.folds import folded
 from storelens.sources.star import Star
 
 
@@ -25,7 +26,16 @@ def _decimal(cents: str, kind: str) -> str:
     return f"cast(cast({cents} as decimal(19,0)) * 0.01 as {kind})"
 
 
+# The source table that has as many rows as a table, or more.
+ROWS_FROM = {
+    "dim_customers": "customer", "dim_stores": "supplier", "dim_products": "part", "fact_orders": "orders", "fact_order_items": "lineitem",
+    "fact_sessions": "events", "fact_inventory_daily": "lineitem", "fact_marketing_spend": "orders",
+}
+
+
 class MappedStar(Star):
+    grouped = frozenset({"fact_inventory_daily", "fact_marketing_spend"})
+
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark)
         self.folder = folder.rstrip("/")
@@ -38,6 +48,9 @@ class MappedStar(Star):
         """Number of rows of a source table, as a scalar subquery; answered from file footers."""
         return self.source(name).agg(F.count(F.lit(1))).scalar()
 
+    def about_rows(self, name: str) -> int:
+        return self.source(ROWS_FROM[name]).count()
+
     def open(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
@@ -195,15 +208,10 @@ class MappedStar(Star):
         )
 
     def _fact_inventory_daily(self) -> DataFrame:
-        daily = (
-            self.source("lineitem")
-            .selectExpr(
-                "to_date(l_shipdate) as inventory_date", "l_suppkey as store_id", "l_partkey as product_id",
-                "cast(l_quantity as int) as quantity",
-            )
-            .groupBy("inventory_date", "store_id", "product_id")
-            .agg(F.expr("sum(quantity) as sold"))
+        lines = self.source("lineitem").selectExpr(
+            "to_date(l_shipdate) as inventory_date", "l_suppkey as store_id", "l_partkey as product_id", "cast(l_quantity as int) as quantity",
         )
+        daily = folded(lines, ["inventory_date", "store_id", "product_id"], [F.expr("sum(quantity) as sold")], self.about_rows("fact_inventory_daily"))
         return daily.selectExpr(
             "inventory_date",
             "store_id",

@@ -67,12 +67,19 @@ def merged_once(left: DataFrame, right: DataFrame, key: str, name: str) -> DataF
 class Star:
     """Base class: subclasses say where each table comes from; tables open on first use."""
 
+    # Tables that are made by grouping by their key.
+    grouped: frozenset[str] = frozenset()
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
     def open(self, name: str) -> DataFrame:
         raise NotImplementedError
 
+    def about_rows(self, name: str) -> int:
+        """How many rows a table has, to size its tasks by."""
+        return self.table(name).count()
+
     @cached_property
     def customers(self) -> DataFrame:
         return self.open("dim_customers")

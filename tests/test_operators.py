@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from storelens.operators import date_dim, demand_forecast, fill_days, next_in_group, two_proportion_test
+from storelens.operators.folds import folded
 
 
 @pytest.fixture(scope="module")
@@ -137,3 +138,19 @@ def test_two_proportions_with_an_empty_side(spark):
     df = spark.createDataFrame([(0, 0, 5, 10)], "xa int, na int, xb int, nb int")
     z, p = two_proportion_test(*(F.col(c) for c in ("xa", "na", "xb", "nb")))
     assert tuple(df.select(z, p).first()) == (None, None)
+
+
+def test_grouping_by_nearly_unique_keys_takes_tasks_by_rows_and_folds_a_common_key_first(spark):
+    rows = spark.range(40_000, numPartitions=4).selectExpr("if(id % 4 = 0, null, id) as a", "cast(id % 7 as string) as b", "id as v")
+    aggregates = [F.count("*").alias("n"), F.sum("v").alias("v")]
+    got = folded(rows, ["a"], aggregates, rows=40_000, task_rows=500)
+    want = rows.groupBy("a").agg(*aggregates)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    both = folded(rows, ["a", "b"], aggregates, rows=40_000, task_rows=500)
+    assert sorted(map(str, both.collect())) == sorted(map(str, rows.groupBy("a", "b").agg(*aggregates).collect()))
+    # Unique keys are grouped behind the shuffle alone, in 80 tasks; the null key is folded before one.
+    unique = folded(rows.where("v % 4 > 0"), ["a"], aggregates, rows=40_000, task_rows=500)
+    assert sorted(map(str, unique.collect())) == sorted(map(str, want.where("a is not null").collect()))
+    assert unique.rdd.getNumPartitions() == 80
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(unique).count("Exchange") == 1 and "Union" not in plan(unique) and "Union" in plan(got)

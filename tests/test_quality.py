@@ -1,12 +1,15 @@
 import datetime as dt
 from decimal import Decimal as D
+from functools import partial
 
 import pytest
 
 from pyspark.sql import functions as F
 
+from conftest import DATA
+from storelens.operators.folds import folded
 from storelens.plans import quality
-from storelens.sources import TableStar
+from storelens.sources import MappedStar, TableStar, mapped
 
 
 def base():
@@ -168,3 +171,16 @@ def test_samples_are_bounded_and_cost_no_scan(make_star):
     exchanges = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
     assert exchanges(quality.constraint_violations(star, samples=3)) == exchanges(quality.constraint_violations(star))
     assert exchanges(quality.quality_report(star, samples=3)) == exchanges(quality.quality_report(star))
+
+
+def test_keys_of_large_tables_are_grouped_in_tasks_by_rows(spark, monkeypatch):
+    """No table is folded before its shuffle, so no task's groups grow with the input; the counts stay the same."""
+    folder = f"{DATA}/sf0.001"
+    want = sorted(map(str, quality.key_checks(MappedStar(spark, folder)).collect()))
+    for module in (quality, mapped):
+        monkeypatch.setattr(module, "folded", partial(folded, task_rows=200))
+    star = MappedStar(spark, folder)
+    assert sorted(map(str, quality.key_checks(star).collect())) == want
+    for table, tasks in (("fact_order_items", 30), ("fact_inventory_daily", 30), ("fact_orders", 8)):
+        plan = quality._key_summary(star, table)._jdf.queryExecution().executedPlan().toString()
+        assert f", {tasks}), REPARTITION_BY_NUM" in plan and plan.count("ENSURE_REQUIREMENTS") == plan.count("SinglePartition, ENSURE_REQUIREMENTS")
